@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from matchmill.plans import fixture_queries  # noqa: F401
+from matchmill.plans import event_queries, fixture_queries, snapshot_queries  # noqa: F401
 from matchmill.plans.registry import QUERIES, SQL, Query
 
 

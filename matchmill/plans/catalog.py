@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from matchmill.plans import event_queries, fixture_queries, snapshot_queries  # noqa: F401
+from matchmill.plans import (  # noqa: F401
+    event_queries, feed_queries, fixture_queries, quality_queries, snapshot_queries, tree_queries,
+)
 from matchmill.plans.registry import QUERIES, SQL, Query
 
 

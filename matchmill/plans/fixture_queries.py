@@ -89,14 +89,14 @@ def _(spark, sf):
 
 @query(
     "participant_history",
-    f"""WITH {SIDES_SQL} SELECT match_id, kickoff, stage, opponent, is_home, scored, conceded,
+    f"""WITH {SIDES_SQL} SELECT participant, match_id, kickoff, stage, opponent, is_home, scored, conceded,
       CASE WHEN winner = participant THEN 'W' WHEN winner IS NULL THEN 'D' ELSE 'L' END AS letter,
       is_knockout AND scored = conceded AND winner IS NOT NULL AS is_shootout
-    FROM sides WHERE is_finished AND participant = 'NATION_3'""",
+    FROM sides WHERE is_finished""",
 )
 def _(spark, sf):
-    rows = participant_history(fixtures(spark, sf), "NATION_3").orderBy("kickoff", "match_id")
-    return rows.select("match_id", "kickoff", "stage", "opponent", "is_home", "scored", "conceded", "letter", "is_shootout")
+    rows = participant_history(fixtures(spark, sf)).orderBy("participant", "kickoff", "match_id")
+    return rows.select("participant", "match_id", "kickoff", "stage", "opponent", "is_home", "scored", "conceded", "letter", "is_shootout")
 
 
 @query(

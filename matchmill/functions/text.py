@@ -8,9 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Texts worth casting. A failed try_cast costs an exception per row, a look at the text does not.
+_WHOLE = r"^\s*[+-]?\d+\s*$"
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def whole_or_null(text: Column, kind: str = "int") -> Column:
+    """Integer of a text; NULL for anything else."""
+    return F.when(text.rlike(_WHOLE), text.try_cast(kind))
+
+
 def safe_int(column: Column, default: int = 0) -> Column:
     """Integer of a text; NULL, blank or unreadable text gives ``default``."""
-    return F.coalesce(column.cast("string").try_cast("int"), F.lit(default))
+    return F.coalesce(whole_or_null(column.cast("string")), F.lit(default))
 
 
 def null_tokens(column: Column, tokens: Sequence[str]) -> Column:
@@ -29,7 +39,8 @@ def is_true(column: Column) -> Column:
 
 def number_or_null(column: Column) -> Column:
     """A finite number, or NULL."""
-    value = column.cast("string").try_cast("double")
+    text = column.cast("string")
+    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
     return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
@@ -42,6 +53,8 @@ def coerce_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
             casts[name] = is_true(column)
         elif kind == "number":
             casts[name] = number_or_null(column)
+        elif kind in ("int", "bigint"):
+            casts[name] = whole_or_null(column, kind)
         else:
             casts[name] = column.try_cast(kind)
     return df.withColumns(casts)
@@ -72,7 +85,7 @@ def label_source(column: Column) -> Column:
 
 def suffix_number(column: Column) -> Column:
     """3 for ``R16-3``; 0 where there is no number."""
-    return F.coalesce(F.regexp_extract(column, r"-(\d+)", 1).try_cast("long"), F.lit(0).cast("long"))
+    return F.coalesce(whole_or_null(F.regexp_extract(column, r"-(\d+)", 1), "long"), F.lit(0).cast("long"))
 
 
 def search_filter(df: DataFrame, columns: Sequence[str], query: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from matchmill.fixed_values import LINE_PATTERNS, MEDALS
 from matchmill.functions.text import lookup
 from matchmill.operators.dedup import dedup_latest
-from matchmill.operators.ranking import top_with_ties
+from matchmill.operators.ranking import rank_rows, top_with_ties
 from matchmill.operators.scan import ordered_scan
 
 
@@ -23,10 +23,6 @@ def hour_of(column: str) -> Column:
     return F.date_trunc("HOUR", F.col(column))
 
 
-def month_of(column: str) -> Column:
-    return F.date_trunc("MONTH", F.col(column))
-
-
 def build_axis(checkpoints: DataFrame, ts: str, fallback_hours: int = 24) -> DataFrame:
     """Distinct checkpoint times, numbered, each with the boundary up to which snapshots count for it.
 
@@ -35,7 +31,7 @@ def build_axis(checkpoints: DataFrame, ts: str, fallback_hours: int = 24) -> Dat
     times = checkpoints.select(F.col(ts).alias("axis_ts")).filter(F.col("axis_ts").isNotNull()).distinct()
     axis = ordered_scan(
         times, [], ["axis_ts"], row_number="step", previous={"_prev": "axis_ts"}, following={"_next": "axis_ts"},
-        bucket=month_of("axis_ts"),
+        bucket=hour_of("axis_ts"),
     )
     last = F.col("axis_ts") + F.make_dt_interval(F.lit(0), F.lit(fallback_hours), F.lit(0), F.lit(0))
     # A step takes the snapshots after the boundary before it, which is its own time.
@@ -45,21 +41,24 @@ def build_axis(checkpoints: DataFrame, ts: str, fallback_hours: int = 24) -> Dat
     )
 
 
-def step_of_snapshot(snapshots: DataFrame, axis: DataFrame, snap_ts: str, earliest: Column | None = None) -> DataFrame:
+def step_of_snapshot(
+    snapshots: DataFrame, axis: DataFrame, snap_ts: str, earliest: Column | None = None, grain: str = "HOUR"
+) -> DataFrame:
     """Add ``step``: the first axis step whose boundary is not before the snapshot.
 
     Snapshots past the last boundary belong to no step and drop out. ``earliest`` may give a time no
-    snapshot is before; otherwise it is looked up.
+    snapshot is before; otherwise it is looked up. ``grain`` is the bucket in which snapshots meet axis
+    steps: take MINUTE or SECOND for an axis with many steps an hour.
     """
     if earliest is None:
         earliest = snapshots.agg(F.min(snap_ts)).scalar()
     start = F.least(F.coalesce("after", earliest), F.col("boundary"))
-    hours = F.sequence(F.date_trunc("HOUR", start), F.date_trunc("HOUR", "boundary"), F.expr("INTERVAL 1 HOUR"))
-    stretches = axis.select("step", "after", "boundary", F.explode(hours).alias("_hour"))
+    buckets = F.sequence(F.date_trunc(grain, start), F.date_trunc(grain, "boundary"), F.expr(f"INTERVAL 1 {grain}"))
+    stretches = axis.select("step", "after", "boundary", F.explode(buckets).alias("_bucket"))
     inside = (F.col(snap_ts) <= F.col("boundary")) & (F.col("after").isNull() | (F.col(snap_ts) > F.col("after")))
     return (
-        snapshots.withColumn("_hour", hour_of(snap_ts)).join(stretches, "_hour").filter(inside)
-        .drop("_hour", "after", "boundary")
+        snapshots.withColumn("_bucket", F.date_trunc(grain, F.col(snap_ts))).join(stretches, "_bucket").filter(inside)
+        .drop("_bucket", "after", "boundary")
     )
 
 
@@ -112,9 +111,8 @@ def race(
     rows = asof_snapshot(
         checkpoints, leader_snapshots, entity, cp_id, cp_ts, snap_ts, values, fallback_hours=fallback_hours, earliest=earliest
     )
-    # Leaders only: a checkpoint has k rows, or as many as share the k best results.
-    sort = [F.col(c).desc() if d else F.col(c).asc() for c, d in order]
-    rows = rows.withColumn("rank_at_step", F.dense_rank().over(Window.partitionBy(cp_id).orderBy(*sort)).cast("long"))
+    # Any number of leaders may share a place, so a checkpoint's rows are ranked by distinct results.
+    rows = rank_rows(rows, order, [cp_id], dense="rank_at_step")
     last = checkpoints.agg(F.max(cp_ts)).scalar()
     medal = lookup(F.col("rank_at_step").cast("int"), MEDALS)
     return rows.withColumns({"medal": medal, "is_latest": F.col(cp_ts) == last})
@@ -123,7 +121,7 @@ def race(
 def forward_fill(df: DataFrame, entity: str, axis_ts: str, values: Sequence[str], baseline: int = 0) -> DataFrame:
     """Every entity at every axis step, holding its last known values, ``baseline`` before the first."""
     times = df.select(axis_ts).distinct()
-    axis = ordered_scan(times, [], [axis_ts], row_number="step", bucket=month_of(axis_ts))
+    axis = ordered_scan(times, [], [axis_ts], row_number="step", bucket=hour_of(axis_ts))
     states = df.select(entity, axis_ts, *values).join(axis, axis_ts)
     return repeat_to_next(states, entity, axis.agg(F.max("step")).scalar(), values, baseline).join(axis, "step")
 

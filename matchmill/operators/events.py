@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchmill.fixed_values import EVENT_ICON, PENALTY_ICON
-from matchmill.functions.text import canonical_name
+from matchmill.functions.text import canonical_name, whole_or_null
 from matchmill.operators.dedup import top_rows
 from matchmill.operators.scan import ordered_scan
 
@@ -29,8 +29,8 @@ def event_fields(raw: Column) -> dict[str, Column]:
     return {
         "actor": F.trim(F.regexp_extract(raw, r"^([^0-9]+)", 1)),
         "minute": minute,
-        "minute_base": F.regexp_extract(minute, r"^([0-9]+)", 1).try_cast("int"),
-        "stoppage": F.regexp_extract(minute, r"\+([0-9]+)", 1).try_cast("int"),
+        "minute_base": whole_or_null(F.substring_index(minute, "+", 1)),
+        "stoppage": F.when(F.contains(minute, F.lit("+")), whole_or_null(F.substring_index(minute, "+", -1))),
         "is_penalty": F.contains(raw, F.lit("(p)")),
     }
 
@@ -77,9 +77,8 @@ def event_sequences(events: DataFrame, kickoff: str = "kickoff") -> DataFrame:
     Events of one fixture come from one packed text, so that window is small. A team's may be any number
     and are scanned in time buckets.
     """
-    rows = ordered_scan(
-        with_event_order(events), ["match_id", "team"], event_order(), row_number="number_in_match", bucket=F.col("minute_base")
-    )
+    in_match = Window.partitionBy("match_id", "team").orderBy(*event_order())
+    rows = with_event_order(events).withColumn("number_in_match", F.row_number().over(in_match).cast("long"))
     order = [kickoff, "match_id", *event_order()]
     rows = ordered_scan(rows, ["team"], order, row_number="number_overall", bucket=F.date_trunc("HOUR", F.col(kickoff)))
     return rows.drop("stoppage_or_0")

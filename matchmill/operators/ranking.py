@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from matchmill.operators.dedup import top_rows
 from matchmill.operators.joins import counted_join, lookup_join
 from matchmill.operators.scan import ordered_scan
+from matchmill.session import stage
 
 
 def _ascending(df: DataFrame, order: Sequence[tuple[str, bool]]) -> tuple[DataFrame, list[str]]:
@@ -54,7 +55,7 @@ def rank_rows(
         ranked = ranked.withColumn("_percent", F.when(size > 1, share / (size - 1)).otherwise(F.lit(0.0)))
         take["_percent"] = percent
     wanted = {source: name for source, name in take.items() if name}
-    table = ranked.select(*keys, "_n", *[F.col(s).alias(n) for s, n in wanted.items()])
+    table = stage(ranked.select(*keys, "_n", *[F.col(s).alias(n) for s, n in wanted.items()]), "ranks")
     return counted_join(df, table, keys, "_n", list(wanted.values()))
 
 
@@ -96,6 +97,7 @@ def percent_ranks(df: DataFrame, measures: dict[str, str], scale: float = 100.0)
     total = df.agg(F.count(F.lit(1))).scalar()
     position = (F.col("_upto") - F.col("_n")).cast("double")
     ranked = ranked.withColumn("_pct", F.when(total > 1, position / (total - 1) * scale).otherwise(F.lit(0.0)))
+    ranked = stage(ranked.select("metric", "value", "_n", "_pct"), "percent-ranks")
     for name, measure in measures.items():
         table = ranked.filter(F.col("metric") == measure).select(
             F.col("value").alias("_value"), "_n", F.col("_pct").alias(name)

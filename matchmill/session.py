@@ -17,6 +17,8 @@ def build_session(app: str = "matchmill", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Split hot join partitions even if that costs a later shuffle.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         **conf,
     }

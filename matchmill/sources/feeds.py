@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchmill.functions.text import null_tokens, safe_int
+from matchmill.functions.text import null_tokens, safe_int, whole_or_null
 from matchmill.operators.dedup import top_rows
 from matchmill.operators.scan import global_row_number
 
@@ -70,7 +70,7 @@ def fixtures_feed(payloads: DataFrame) -> DataFrame:
     """
     rows = explode_feed(payloads, ["games"])
     out = {c: safe_int(F.col(c)) for c in ("home_score", "away_score")}
-    out |= {c: F.col(c).try_cast("int") for c in ("home_penalty_score", "away_penalty_score")}
+    out |= {c: whole_or_null(F.col(c)) for c in ("home_penalty_score", "away_penalty_score")}
     out |= {c: null_tokens(F.col(c), NO_ID) for c in ("home_team_id", "away_team_id")}
     out |= {c: null_tokens(F.col(c), NO_EVENTS) for c in ("home_scorers", "away_scorers")}
     for part in ("scorers", "misses"):

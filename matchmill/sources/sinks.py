@@ -61,7 +61,8 @@ def load_history(
 
     The table is partitioned by (is_current, load_id). Only the open versions are read and rewritten; the
     versions this load closes go to the load's own partition, so repeating a load replaces its partition
-    and never touches what earlier loads closed.
+    and never touches what earlier loads closed. They are written before the open ones: a load that broke
+    off in between finds the old open versions again and closes the same rows.
     """
     if exists:
         table = spark.read.parquet(path).filter("is_current").drop("load_id")
@@ -70,7 +71,9 @@ def load_history(
         rows = first_load(snapshot, keys, track, valid_from)
     rows = rows.withColumn("load_id", F.when(F.col("is_current"), F.lit("open")).otherwise(F.lit(load_id)))
     staged = stage(rows, "history")
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("is_current", "load_id").parquet(path)
+    for part in ("NOT is_current", "is_current"):
+        writer = staged.filter(part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("is_current", "load_id").parquet(path)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:

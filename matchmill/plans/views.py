@@ -43,21 +43,18 @@ def latest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-sided fixtures: the supplier's nation at home against the customer's nation."""
-    nation = load(spark, sf_dir, "nation", "n_nationkey", "n_name")
     supplier = load(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-    customer = load(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     orders = load(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
-    home = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        "s_suppkey", F.col("n_nationkey").alias("home_id"), F.col("n_name").alias("home_team")
-    )
-    away = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "c_custkey", F.col("n_nationkey").alias("away_id"), F.col("n_name").alias("away_team")
-    )
+    customer = load(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    nation = load(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    # One table after the other: Spark then knows the size of each right side and broadcasts only small ones.
     rows = latest_lines(spark, sf_dir)
-    rows = rows.join(home, F.col("l_suppkey") == F.col("s_suppkey"))
+    rows = rows.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    rows = rows.join(away, F.col("o_custkey") == F.col("c_custkey"))
-    rows = rows.filter("home_id <> away_id")
+    rows = rows.join(customer, F.col("o_custkey") == F.col("c_custkey")).filter("s_nationkey <> c_nationkey")
+    for side, key in (("home", "s_nationkey"), ("away", "c_nationkey")):
+        names = nation.select(F.col("n_nationkey").alias(f"{side}_id"), F.col("n_name").alias(f"{side}_team"))
+        rows = rows.join(names, F.col(key) == F.col(f"{side}_id"))
     home_score = F.round(F.col("l_discount") * 100).cast("int")
     away_score = F.round(F.col("l_tax") * 100).cast("int")
     knockout = F.col("l_returnflag") == "R"

@@ -89,7 +89,24 @@ class Check:
         )
 
 
-def run_checks(checks: Sequence[Check]) -> DataFrame:
+@dataclass(frozen=True)
+class RowRules:
+    """Rules about single rows of one table, all judged in one scan: name -> (failing?, detail)."""
+
+    df: DataFrame
+    rules: Mapping[str, tuple[Column, Column | str]]
+
+    def rows(self) -> DataFrame:
+        found = []
+        for name, (failing, detail) in self.rules.items():
+            text = F.lit(detail) if isinstance(detail, str) else detail
+            failure = F.struct(F.lit(name).alias("failure_type"), text.cast("string").alias("failure_detail"))
+            found.append(F.when(failing, failure))
+        rows = self.df.select(F.explode(F.array_compact(F.array(*found))).alias("f"))
+        return rows.select("f.failure_type", "f.failure_detail", F.lit(1).cast("long").alias("_weight"))
+
+
+def run_checks(checks: Sequence[Check | RowRules]) -> DataFrame:
     """One report (failure_type, failure_detail, failure_count) over all checks; empty means all pass."""
     rows = reduce(DataFrame.unionByName, [check.rows() for check in checks])
     return rows.groupBy("failure_type", "failure_detail").agg(F.sum("_weight").alias("failure_count"))

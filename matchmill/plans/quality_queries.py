@@ -8,7 +8,7 @@ from matchmill.functions.times import parse_local
 from matchmill.operators import quality
 from matchmill.operators.asof import hour_of
 from matchmill.operators.layout import cluster_layout
-from matchmill.operators.quality import Check, run_checks
+from matchmill.operators.quality import Check, RowRules, run_checks
 from matchmill.operators.sides import participant_totals
 from matchmill.plans.fixture_queries import _group_ranks
 from matchmill.plans.registry import query
@@ -145,18 +145,21 @@ def _(spark, sf):
     lines = load(spark, sf, "lineitem", "l_orderkey")
     orders = load(spark, sf, "orders", "o_orderkey", "o_orderpriority")
     copies = F.concat(F.lit("match_id loaded "), F.col("copies").cast("string"), F.lit(" times"))
+    knockout = F.col("is_finished") & F.col("is_knockout")
     return run_checks(
         [
             Check(
                 "duplicate_key",
                 lambda: quality.duplicates(_line_ids(spark, sf), ["match_id"]).withColumn("extra", F.col("copies") - 1), copies, "extra",
             ),
-            Check(
-                "missing_winner", lambda: quality.not_null(rows.filter("is_finished AND is_knockout"), ["winner"]),
-                F.concat(F.lit("stage "), F.col("stage")),
+            RowRules(
+                rows,
+                {
+                    "missing_winner": (knockout & F.col("winner").isNull(), F.concat(F.lit("stage "), F.col("stage"))),
+                    "stage_domain": (~F.col("stage").isin("A", "R"), F.concat(F.lit("unknown stage "), F.col("stage"))),
+                    "missing_name": (F.col("home_team").isNull(), "home"),
+                },
             ),
-            Check("stage_domain", lambda: quality.outside_values(rows, "stage", ["A", "R"]), F.concat(F.lit("unknown stage "), F.col("stage"))),
-            Check("missing_name", lambda: quality.not_null(rows, ["home_team"]), "home"),
             Check("order_without_lines", lambda: quality.orphans(orders, lines, {"o_orderkey": "l_orderkey"}), F.col("o_orderpriority")),
         ]
     )

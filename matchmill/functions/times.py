@@ -86,4 +86,4 @@ def delta_label(instant: Column, as_of: Column) -> Column:
         F.when(hours > 0, F.concat(hours.cast("string"), F.lit("h"))),
         F.concat(rest.cast("string"), F.lit("m")),
     )
-    return F.when(minutes >= 0, F.concat(F.lit("in "), parts)).otherwise(F.concat(parts, F.lit(" ago")))
+    return F.when(minutes >= 0, F.concat(F.lit("in "), parts)).when(minutes < 0, F.concat(parts, F.lit(" ago")))

@@ -65,7 +65,7 @@ def load_history(
     off in between finds the old open versions again and closes the same rows.
     """
     if exists:
-        table = spark.read.parquet(path).filter("is_current").drop("load_id")
+        table = read_history(spark, path).filter("is_current")
         rows = current_versions(table, snapshot, keys, track, monotone, valid_from)
     else:
         rows = first_load(snapshot, keys, track, valid_from)
@@ -77,4 +77,5 @@ def load_history(
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("load_id")
+    """The whole history; a filter on ``is_current`` prunes to the folders that hold such versions."""
+    return spark.read.parquet(path).withColumn("is_current", F.col("is_current").cast("boolean")).drop("load_id")

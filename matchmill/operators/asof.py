@@ -17,6 +17,7 @@ from matchmill.functions.text import lookup
 from matchmill.operators.dedup import dedup_latest
 from matchmill.operators.ranking import rank_rows, top_with_ties
 from matchmill.operators.scan import ordered_scan
+from matchmill.session import stage
 
 
 def hour_of(column: str) -> Column:
@@ -35,10 +36,11 @@ def build_axis(checkpoints: DataFrame, ts: str, fallback_hours: int = 24) -> Dat
     )
     last = F.col("axis_ts") + F.make_dt_interval(F.lit(0), F.lit(fallback_hours), F.lit(0), F.lit(0))
     # A step takes the snapshots after the boundary before it, which is its own time.
-    return axis.select(
+    axis = axis.select(
         "axis_ts", "step", F.when(F.col("_prev").isNotNull(), F.col("axis_ts")).alias("after"),
         F.coalesce("_next", last).alias("boundary"),
     )
+    return stage(axis, "axis")  # small, and read several times
 
 
 def step_of_snapshot(
@@ -112,7 +114,7 @@ def race(
         checkpoints, leader_snapshots, entity, cp_id, cp_ts, snap_ts, values, fallback_hours=fallback_hours, earliest=earliest
     )
     # Any number of leaders may share a place, so a checkpoint's rows are ranked by distinct results.
-    rows = rank_rows(rows, order, [cp_id], dense="rank_at_step")
+    rows = rank_rows(stage(rows, "race"), order, [cp_id], dense="rank_at_step")
     last = checkpoints.agg(F.max(cp_ts)).scalar()
     medal = lookup(F.col("rank_at_step").cast("int"), MEDALS)
     return rows.withColumns({"medal": medal, "is_latest": F.col(cp_ts) == last})
@@ -121,7 +123,7 @@ def race(
 def forward_fill(df: DataFrame, entity: str, axis_ts: str, values: Sequence[str], baseline: int = 0) -> DataFrame:
     """Every entity at every axis step, holding its last known values, ``baseline`` before the first."""
     times = df.select(axis_ts).distinct()
-    axis = ordered_scan(times, [], [axis_ts], row_number="step", bucket=hour_of(axis_ts))
+    axis = stage(ordered_scan(times, [], [axis_ts], row_number="step", bucket=hour_of(axis_ts)), "axis")
     states = df.select(entity, axis_ts, *values).join(axis, axis_ts)
     return repeat_to_next(states, entity, axis.agg(F.max("step")).scalar(), values, baseline).join(axis, "step")
 

@@ -11,6 +11,7 @@ from matchmill.fixed_values import EVENT_ICON, PENALTY_ICON
 from matchmill.functions.text import canonical_name, whole_or_null
 from matchmill.operators.dedup import top_rows
 from matchmill.operators.scan import ordered_scan
+from matchmill.session import stage
 
 # Minute parts of an event text: base minute, and stoppage after a plus sign.
 _MINUTE = r"([0-9]+(?:\+[0-9]+)?)"
@@ -80,7 +81,7 @@ def event_sequences(events: DataFrame, kickoff: str = "kickoff") -> DataFrame:
     in_match = Window.partitionBy("match_id", "team").orderBy(*event_order())
     rows = with_event_order(events).withColumn("number_in_match", F.row_number().over(in_match).cast("long"))
     order = [kickoff, "match_id", *event_order()]
-    rows = ordered_scan(rows, ["team"], order, row_number="number_overall", bucket=F.date_trunc("HOUR", F.col(kickoff)))
+    rows = ordered_scan(stage(rows, "events"), ["team"], order, row_number="number_overall", bucket=F.date_trunc("HOUR", F.col(kickoff)))
     return rows.drop("stoppage_or_0")
 
 
@@ -112,9 +113,10 @@ def nested_rollup(
     in further rows (``page`` 1, 2, ...); nothing is left out and no task gathers more than one page. All
     other parents have just page 0. A side without events holds ``["NA"]`` on page 0.
     """
-    numbered = ordered_scan(events, [key, side], order, row_number="_seq", bucket=bucket)
+    events = stage(events.select(key, side, *order, text.alias("_text"), bucket.alias("_bucket")), "rollup")
+    numbered = ordered_scan(events, [key, side], order, row_number="_seq", bucket=F.col("_bucket"))
     paged = numbered.withColumn("page", F.floor((F.col("_seq") - 1) / page_size).cast("long"))
-    item = F.struct(F.col("_seq"), text.alias("_text"))
+    item = F.struct("_seq", "_text")
     lists = paged.groupBy(key, "page").agg(
         *[
             F.transform(F.array_sort(F.collect_list(F.when(F.col(side) == is_home, item))), lambda x: x["_text"]).alias(name)

@@ -50,6 +50,12 @@ def formula_off(df: DataFrame, stored: Column, expected: Column, tolerance: floa
     return df.filter(F.abs(stored - expected) > tolerance)
 
 
+def formulas_off(df: DataFrame, formulas: Mapping[str, tuple[Column, Column]], tolerance: float = 0.0) -> DataFrame:
+    """One row per row and formula (name -> stored, expected) that is off, from one scan."""
+    wrong = [F.when(F.abs(stored - expected) > tolerance, F.lit(name)) for name, (stored, expected) in formulas.items()]
+    return df.withColumn("formula", F.explode(F.array_compact(F.array(*wrong))))
+
+
 def differing(df: DataFrame, source: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Keys present in both whose columns disagree (NULL-safe)."""
     right = source.select(F.col(key).alias("_key"), *[F.col(c).alias(f"source_{c}") for c in columns])
@@ -68,6 +74,16 @@ def over_budget(df: DataFrame, failing: Column, budget: int) -> DataFrame:
     return df.agg(F.count_if(failing).alias("failing")).filter(F.col("failing") > budget)
 
 
+def over_budgets(df: DataFrame, budgets: Mapping[str, tuple[Column | None, int, int]]) -> DataFrame:
+    """Several budgets in one scan: name -> (failing? or None for all rows, least, most); (budget, n) if outside."""
+    counts = df.agg(*[(F.count(F.lit(1)) if c is None else F.count_if(c)).alias(f"n{i}") for i, (c, _, _) in enumerate(budgets.values())])
+    found = [
+        F.when(~F.col(f"n{i}").between(low, high), F.struct(F.lit(name).alias("budget"), F.col(f"n{i}").alias("n")))
+        for i, (name, (_, low, high)) in enumerate(budgets.items())
+    ]
+    return counts.select(F.explode(F.array_compact(F.array(*found))).alias("b")).select("b.*")
+
+
 def row_count_outside(df: DataFrame, low: int, high: int) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows")).filter(~F.col("rows").between(low, high))
 

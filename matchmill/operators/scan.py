@@ -68,6 +68,9 @@ def ordered_scan(
     ``bucket`` is an expression that rises with ``order`` (a date or an hour of a timestamp order): no
     shuffle is needed to cut the groups, and the plan stays lazy. Without it the rows are range
     partitioned by (group, order) and staged once, so any order works.
+
+    The input is read twice, for the rows and for the totals per part; give a stored or staged table, not
+    the end of a long pipeline.
     """
     sums, previous, following = dict(sums or {}), dict(previous or {}), dict(following or {})
     columns = df.columns

@@ -15,6 +15,7 @@ from matchmill.operators.shape import melt_metrics, unified_facts
 from matchmill.operators.sides import latest_state, participant_history, participant_totals, unpivot_sides
 from matchmill.plans import marts
 from matchmill.plans.registry import query
+from matchmill.session import stage
 from matchmill.plans.views import (
     AS_OF, FIXTURES_SQL, LATEST, SIDES_SQL, TOTALS_SQL, VENUES_SQL, fixtures, fixtures_with_text, latest_lines, load, moment,
     venue_zones,
@@ -117,8 +118,9 @@ def _groups(spark, sf):
     )
 
 
-def _group_ranks(spark, sf):
-    totals = participant_totals(fixtures(spark, sf)).join(_groups(spark, sf), "participant")
+def _group_ranks(spark, sf, rows=None):
+    totals = participant_totals(fixtures(spark, sf) if rows is None else rows)
+    totals = stage(totals.join(_groups(spark, sf), "participant"), "totals")
     order = [("points", True), ("goal_difference", True), ("goals_for", True)]
     return rank_rows(totals, order, ["group_name"], dense="rank_in_group")
 
@@ -161,7 +163,7 @@ def _(spark, sf):
     FROM standing JOIN nation ON n_name = participant""",
 )
 def _(spark, sf):
-    totals = participant_totals(fixtures(spark, sf)).join(_groups(spark, sf), "participant")
+    totals = stage(participant_totals(fixtures(spark, sf)).join(_groups(spark, sf), "participant"), "totals")
     rows = gap_to_leader(gap_to_leader(totals, "points"), "points", "behind_group", ["group_name"])
     return rows.select("participant", "points", "behind_leader", "behind_group")
 

@@ -19,6 +19,7 @@ from matchmill.operators.ranking import gap_to_leader, percent_ranks
 from matchmill.operators.shape import stage_ordinal, unified_facts
 from matchmill.operators.sides import latest_state, participant_totals, round_half_up, unpivot_sides
 from matchmill.operators.tree import half_by_suffix, resolve_tree
+from matchmill.session import stage
 
 
 def unify_fixtures(branches: dict[str, DataFrame], aliases: dict[str, str]) -> DataFrame:
@@ -30,13 +31,16 @@ def unify_fixtures(branches: dict[str, DataFrame], aliases: dict[str, str]) -> D
     return unified_facts(named)
 
 
-def favourite_opponents(events: DataFrame, fixtures: DataFrame) -> DataFrame:
+def favourite_opponents(events: DataFrame, fixtures: DataFrame | None = None) -> DataFrame:
     """Per actor and team the opponent most events were scored against; ties go to the first name.
 
-    The pairs are counted before the ranking, and the events meet their fixture once.
+    The pairs are counted before the ranking. Events that carry their fixture's sides (``keep`` of the
+    parser) need no join; others meet the fixtures once.
     """
-    sides = fixtures.select("match_id", "home_team", "away_team")
-    joined = events.select("match_id", "actor", "team", "is_home").join(sides, "match_id")
+    if fixtures is None:
+        joined = events
+    else:
+        joined = events.select("match_id", "actor", "team", "is_home").join(fixtures.select("match_id", "home_team", "away_team"), "match_id")
     opponent = F.when(F.col("is_home"), F.col("away_team")).otherwise(F.col("home_team"))
     counts = joined.groupBy("actor", "team", opponent.alias("opponent")).agg(F.count(F.lit(1)).alias("against"))
     return top_rows(counts, ["actor", "team"], [F.col("against").desc(), F.col("opponent").asc()])
@@ -52,6 +56,7 @@ def leaderboard(
     rows before them are kept too.
     """
     lead = order[0][0]
+    current = stage(current, "leaderboard")  # read by each of the ranks
     scored = percent_ranks(gap_to_leader(current, lead), {f"{m}_percentile": m for m in measures})
     scored = scored.withColumns({f"{m}_percentile": F.floor(F.col(f"{m}_percentile") + 0.5).cast("double") for m in measures})
     sort = [F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last() for c, d in order]
@@ -144,14 +149,14 @@ def participant_profile(
     """
     totals = participant_totals(fixtures)
     sides = unpivot_sides(fixtures.filter("is_finished"), keep=["match_id", "stage", "kickoff"])
-    stage = latest_state(sides, "participant", [F.col("kickoff").desc(), F.col("match_id").desc()], ["stage", "kickoff", "match_id"])
+    latest = latest_state(sides, "participant", [F.col("kickoff").desc(), F.col("match_id").desc()], ["stage", "kickoff", "match_id"])
     scorers = events.groupBy("team", "actor").agg(F.count(F.lit(1)).alias("n"))
     scorers = top_rows(scorers, ["team"], [F.col("n").desc(), F.col("actor").asc()])
     helpers = top_rows(assists, ["participant"], [F.col("assists").desc(), F.col("provider").asc()])
     key = {"participant": "participant"}
     rows = lookup_join(teams, totals, key, {c: c for c in totals.columns if c != "participant"})
     rows = lookup_join(rows, group_ranks, key, {c: c for c in ("rank_in_group", "group_played", "group_points")})
-    rows = lookup_join(rows, stage, key, {"current_stage": "stage"})
+    rows = lookup_join(rows, latest, key, {"current_stage": "stage"})
     rows = lookup_join(rows, scorers, {"participant": "team"}, {"top_scorer": "actor", "top_scorer_events": "n"})
     rows = lookup_join(rows, helpers, key, {"top_assister": "provider", "top_assists": "assists"})
     status = qualification(F.col("rank_in_group"), F.col("group_played"), F.col("played"), parity=parity)
@@ -165,12 +170,15 @@ def participant_profile(
     )
 
 
-def event_detail(events: DataFrame, fixtures: DataFrame, venues: DataFrame) -> DataFrame:
-    """Events with opponent, result, venue, icon and both sequence numbers, for finished fixtures."""
-    facts = fixtures.filter("is_finished").select(
-        "match_id", "home_team", "away_team", "home_score", "away_score", "stage", "kickoff", "venue_id"
-    )
-    rows = events.join(facts, "match_id")
+FIXTURE_FACTS = ["home_team", "away_team", "home_score", "away_score", "stage", "kickoff", "venue_id"]
+
+
+def event_detail(events: DataFrame, fixtures: DataFrame | None, venues: DataFrame) -> DataFrame:
+    """Events with opponent, result, venue, icon and both sequence numbers, for finished fixtures.
+
+    Events parsed from finished fixtures with ``keep=FIXTURE_FACTS`` carry all they need: pass no fixtures.
+    """
+    rows = events if fixtures is None else events.join(fixtures.filter("is_finished").select("match_id", *FIXTURE_FACTS), "match_id")
     rows = lookup_join(rows, venues, {"venue_id": "venue_id"}, {"city": "city", "country": "country"}, how="inner")
     home = F.col("is_home")
     mine = F.when(home, F.col("home_score")).otherwise(F.col("away_score"))

@@ -74,12 +74,15 @@ def _(spark, sf):
     return rows.select("event_id")
 
 
-@query("dq_formula", f"WITH {TOTALS_SQL} SELECT participant, points FROM standing WHERE abs(points - (played * 3 - losses * 3)) > 0.01 UNION ALL SELECT participant, points FROM standing WHERE goal_difference <> goals_for - goals_against OR played <> wins + draws + losses")
+@query("dq_formula", f"WITH {TOTALS_SQL} SELECT participant, 'points' AS formula, points FROM standing WHERE abs(points - (played * 3 - losses * 3)) > 0.01 UNION ALL SELECT participant, 'difference', points FROM standing WHERE goal_difference <> goals_for - goals_against UNION ALL SELECT participant, 'played', points FROM standing WHERE played <> wins + draws + losses")
 def _(spark, sf):
     totals = participant_totals(fixtures(spark, sf))
-    wrong = quality.formula_off(totals, F.col("points"), (F.col("played") - F.col("losses")) * 3, 0.01)
-    sums = quality.formula_off(totals, F.col("goal_difference") + F.col("played"), F.col("goals_for") - F.col("goals_against") + F.col("wins") + F.col("draws") + F.col("losses"))
-    return wrong.select("participant", "points").unionByName(sums.select("participant", "points"))
+    off = {
+        "points": (F.col("points"), (F.col("played") - F.col("losses")) * 3),
+        "difference": (F.col("goal_difference"), F.col("goals_for") - F.col("goals_against")),
+        "played": (F.col("played"), F.col("wins") + F.col("draws") + F.col("losses")),
+    }
+    return quality.formulas_off(totals, off, 0.01).select("participant", "formula", "points")
 
 
 @query("dq_reconcile", f"""WITH {state_sql('s1', '2024-01-15 00:00:00')}, {state_sql('now')} SELECT now.user_id, now.goals, s1.goals AS source_goals, now.minutes, s1.minutes AS source_minutes
@@ -114,12 +117,8 @@ def _(spark, sf):
   UNION ALL SELECT 'names', n FROM (SELECT count(*) FILTER (home_team IS NULL) AS n FROM fx) WHERE n > 2 UNION ALL SELECT 'rows', n FROM (SELECT count(*) AS n FROM fx) WHERE n NOT BETWEEN 1 AND 10""")
 def _(spark, sf):
     rows = fixtures(spark, sf)
-    parts = [
-        quality.over_budget(rows, F.col("winner").isNull(), 2).select(F.lit("winner").alias("budget"), F.col("failing").alias("n")),
-        quality.over_budget(rows, F.col("home_team").isNull(), 2).select(F.lit("names").alias("budget"), F.col("failing").alias("n")),
-        quality.row_count_outside(rows, 1, 10).select(F.lit("rows").alias("budget"), F.col("rows").alias("n")),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    budgets = {"winner": (F.col("winner").isNull(), 0, 2), "names": (F.col("home_team").isNull(), 0, 2), "rows": (None, 1, 10)}
+    return quality.over_budgets(rows, budgets)
 
 
 @query("dq_rank_gaps", f"""WITH {TOTALS_SQL}, ranked AS (SELECT participant, n_regionkey, played, dense_rank() OVER (PARTITION BY n_regionkey ORDER BY points DESC, goal_difference DESC, goals_for DESC) AS expected,

@@ -9,7 +9,9 @@ from matchmill.operators.history import close_current, detect_changes, first_loa
 from matchmill.operators.joins import lookup_join
 from matchmill.operators.ranking import percent_ranks, top_with_ties
 from matchmill.plans import marts
+from matchmill.operators.scan import ordered_scan
 from matchmill.plans.registry import query
+from matchmill.session import stage
 from matchmill.plans.views import (
     CHECKPOINTS_SQL, EVENTS_SQL, MEASURES, RACE_ORDER, SNAPSHOTS_SQL, T1, T2, activity, checkpoints, load, moment,
     packed_events, running, snapshots, state_at, state_sql,
@@ -155,7 +157,7 @@ def _(spark, sf):
 @query("current_leaders", f"WITH {RACE_SQL} SELECT user_id, goals, assists, minutes, rank_at_step FROM race WHERE is_latest")
 def _(spark, sf):
     order = [F.col("rank_at_step").asc(), F.col("goals").desc(), F.col("assists").desc(), F.col("minutes").asc(), F.col("user_id").asc()]
-    return current_leaders(_race(spark, sf), "is_latest", "step", order).select("user_id", "goals", "assists", "minutes", "rank_at_step")
+    return current_leaders(stage(_race(spark, sf), "race"), "is_latest", "step", order).select("user_id", "goals", "assists", "minutes", "rank_at_step")
 
 
 DAILY_SQL = f"""{SNAPSHOTS_SQL},
@@ -169,9 +171,14 @@ filled AS (
 
 
 def _daily(spark, sf):
-    return snapshots(spark, sf).groupBy("user_id", F.to_date("ts").alias("day")).agg(
-        F.max("goals").alias("goals"), F.max("minutes").alias("minutes")
+    """Each user's totals at the end of each active day: day sums first, so that few rows are scanned."""
+    sums = activity(spark, sf).groupBy("user_id", F.to_date("ts").alias("day")).agg(
+        F.sum("d_goals").alias("d_goals"), F.sum("d_minutes").alias("d_minutes")
     )
+    rows = ordered_scan(
+        stage(sums, "daily"), ["user_id"], ["day"], sums={"goals": "d_goals", "minutes": "d_minutes"}, bucket=F.trunc("day", "MONTH")
+    )
+    return stage(rows.select("user_id", "day", "goals", "minutes"), "daily")
 
 
 @query("forward_fill", f"WITH {DAILY_SQL} SELECT user_id, day, step, goals, minutes FROM filled")
@@ -194,7 +201,7 @@ def _(spark, sf):
   percent_rank() OVER (ORDER BY matches) * 100 AS matches_percentile, percent_rank() OVER (ORDER BY minutes) * 100 AS minutes_percentile FROM now""")
 def _(spark, sf):
     names = {f"{m}_percentile": m for m in MEASURES}
-    return percent_ranks(state_at(spark, sf), names).select("user_id", *names)
+    return percent_ranks(stage(state_at(spark, sf), "state"), names).select("user_id", *names)
 
 
 @query("top3_with_ties", f"WITH {state_sql('now')} SELECT user_id, goals, dense_rank FROM (SELECT user_id, goals, dense_rank() OVER (ORDER BY goals DESC) AS dense_rank FROM now) WHERE dense_rank <= 3")
@@ -220,8 +227,7 @@ actors AS (SELECT actor, team, count(*) AS goals, count(*) FILTER (is_penalty) A
 
 @query("favourite_opponent", f"WITH {ACTORS_SQL} SELECT actor, team, opponent, against FROM favourite")
 def _(spark, sf):
-    packed = packed_events(spark, sf)
-    return marts.favourite_opponents(parse_packed_events(packed), packed)
+    return marts.favourite_opponents(parse_packed_events(packed_events(spark, sf), keep=["home_team", "away_team"]))
 
 
 @query("actor_leaderboard", f"""WITH {ACTORS_SQL}, keyed AS (SELECT *, actor || '@' || team AS actor_id FROM actors)
@@ -230,13 +236,13 @@ def _(spark, sf):
   FROM keyed k LEFT JOIN favourite f ON lower(trim(f.actor)) = lower(trim(k.actor)) AND f.team = k.team
   WINDOW o AS (ORDER BY goals DESC, penalties DESC, minutes, actor_id) QUALIFY row_number() OVER o <= 10""")
 def _(spark, sf):
-    packed = packed_events(spark, sf)
-    events = parse_packed_events(packed)
+    events = parse_packed_events(packed_events(spark, sf), keep=["home_team", "away_team"])
+    events = stage(events.select("actor", "team", "is_home", "home_team", "away_team", "minute_base", "is_penalty"), "events")
     actors = events.groupBy("actor", "team").agg(
         F.count(F.lit(1)).alias("goals"), F.count_if("is_penalty").alias("penalties"), F.sum("minute_base").cast("long").alias("minutes")
     ).withColumn("actor_id", F.concat_ws("@", "actor", "team"))
     order = [("goals", True), ("penalties", True), ("minutes", False)]
-    board = marts.leaderboard(actors, order, ["goals"], "actor_id", favourites=marts.favourite_opponents(events, packed))
+    board = marts.leaderboard(actors, order, ["goals"], "actor_id", favourites=marts.favourite_opponents(events))
     return board.select(
         "actor_id", "goals", "penalties", "minutes", "row_rank", "dense_rank", "behind_leader", "goals_percentile", "opponent", "against"
     )

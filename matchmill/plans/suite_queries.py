@@ -10,6 +10,7 @@ from matchmill.plans import marts, suites
 from matchmill.plans.event_queries import _detail
 from matchmill.plans.fixture_queries import SCHEDULE_SQL, _group_ranks, _groups, _schedule
 from matchmill.plans.registry import query
+from matchmill.session import stage
 from matchmill.plans.snapshot_queries import RACE_SQL, _race
 from matchmill.plans.views import EVENTS_SQL, FIXTURES_SQL, RACE_ORDER, TOTALS_SQL, fixtures, load, packed_events, state_at, state_sql
 from matchmill.operators.sides import participant_totals
@@ -40,7 +41,7 @@ def _shown(spark, sf):
   SELECT failure_type, failure_detail, {REPORT}""")
 def _(spark, sf):
     standing = participant_totals(fixtures(spark, sf)).filter("points % 2 = 0")
-    return suites.bracket_suite(_shown(spark, sf), standing)
+    return suites.bracket_suite(stage(_shown(spark, sf).filter("is_knockout"), "schedule"), standing)
 
 
 @query("dq_schedule", f"""WITH {SCHEDULE_SQL}, f AS (
@@ -66,7 +67,7 @@ def _(spark, sf):
             "rating": F.when(F.col("user_id") % 3 != 0, F.col("goals") / F.col("matches")),
         }
     )
-    return suites.leaderboard_suite(board, "user_id", ["goals_percentile", "minutes_percentile"], ["goals", "assists", "rating"])
+    return suites.leaderboard_suite(stage(board, "board"), "user_id", ["goals_percentile", "minutes_percentile"], ["goals", "assists", "rating"])
 
 
 @query("dq_performance", f"""WITH {TOTALS_SQL}, {EVENTS_SQL.split('ev0 AS', 1)[1].join(['ev0 AS', ''])}, f AS (
@@ -78,7 +79,7 @@ def _(spark, sf):
     """Events are held against a fixture table that lacks the knockout fixtures."""
     profile = _groups(spark, sf).join(participant_totals(fixtures(spark, sf)), "participant", "left").withColumn("logo", _logo("participant"))
     kept = fixtures(spark, sf).filter("NOT is_knockout").select("match_id")
-    return suites.performance_suite(profile, _detail(spark, sf), kept)
+    return suites.performance_suite(profile, stage(_detail(spark, sf), "detail"), kept)
 
 
 @query("dq_points", f"""WITH {TOTALS_SQL}, t AS (SELECT *, dense_rank() OVER (PARTITION BY n_regionkey ORDER BY points DESC, goal_difference DESC, goals_for DESC) AS expected FROM standing JOIN nation ON n_name = participant),
@@ -98,7 +99,7 @@ def _(spark, sf):
             "losses": F.when(odd, F.col("losses") - 1).otherwise(F.col("losses")),
         }
     )
-    return suites.points_suite(table)
+    return suites.points_suite(stage(table, "points"))
 
 
 @query("dq_race", f"""WITH {RACE_SQL}, f AS (
@@ -111,4 +112,4 @@ def _(spark, sf):
     race = _race(spark, sf).withColumns(
         {"logo": F.lit(None).cast("string"), "medal": F.when(F.col("rank_at_step") == 2, "🥇").otherwise(F.col("medal"))}
     )
-    return suites.race_suite(race, "user_id", ["goals", "assists", "minutes"], images_allowed=0)
+    return suites.race_suite(stage(race, "race"), "user_id", ["goals", "assists", "minutes"], images_allowed=0)

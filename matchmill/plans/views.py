@@ -137,8 +137,12 @@ VENUES_SQL = (
 
 
 def fixtures_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_local_text(spark, fixtures(spark, sf_dir))
+
+
+def with_local_text(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """Fixtures with their local time as text, zone abbreviation at the end."""
-    rows = lookup_join(fixtures(spark, sf_dir), venue_zones(spark), {"venue_id": "venue_id"}, {"zone_abbr": "zone_abbr"}, "inner")
+    rows = lookup_join(rows, venue_zones(spark), {"venue_id": "venue_id"}, {"zone_abbr": "zone_abbr"}, "inner")
     text = F.concat_ws(" ", F.date_format("kickoff", "MM/dd/yyyy HH:mm"), "zone_abbr")
     return rows.withColumn("local_text", text)
 

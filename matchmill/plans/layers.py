@@ -9,7 +9,8 @@ Landed tables: players, teams, matches, group_standings, stadiums, knockout_brac
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,6 @@ from matchmill.functions.times import parse_local, to_utc
 from matchmill.operators.asof import race, race_leaders
 from matchmill.operators.dedup import dedup_latest, valid_keys
 from matchmill.operators.events import parse_packed_events
-from matchmill.operators.history import scd2_apply
 from matchmill.operators.joins import lookup_join, role_join
 from matchmill.operators.ranking import rank_rows
 from matchmill.operators.scan import global_row_number
@@ -30,7 +30,7 @@ from matchmill.operators.sides import round_half_up
 from matchmill.plans import marts
 from matchmill.plans.views import venue_zones
 from matchmill.session import stage
-from matchmill.sources.sinks import save_all_or_nothing
+from matchmill.sources.sinks import load_history, read_history, save_all_or_nothing
 
 PLAYER_MEASURES = ["goals_scored", "assists", "matches_played", "minutes_played"]
 STANDING_MEASURES = ["matches_played", "wins", "draws", "losses", "goals_for", "goals_against", "goal_difference", "points"]
@@ -116,21 +116,36 @@ def player_snapshot(bronze: DataFrame) -> DataFrame:
     )
 
 
-def player_history(old: DataFrame | None, snapshot: DataFrame) -> DataFrame:
-    track = [*PLAYER_MEASURES, "rating_cumulative", "rating_0_to_10"]
-    return scd2_apply(old, snapshot, ["player_id"], track, PLAYER_MEASURES)
-
-
-def standings_history(old: DataFrame | None, bronze: DataFrame) -> DataFrame:
+def standings_snapshot(bronze: DataFrame) -> DataFrame:
     rows = _latest(bronze, "team_id")
-    snapshot = rows.select(
+    return rows.select(
         "team_id", "team_name", "group_name", *[F.col(c).cast("int").alias(c) for c in STANDING_MEASURES], F.col("ingested_at").alias("valid_from")
     )
-    return scd2_apply(old, snapshot, ["team_id"], ["team_name", "group_name", *STANDING_MEASURES], STANDING_GUARDS)
 
 
-def build_silver(bronze: Mapping[str, DataFrame], history: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    history = history or {}
+@dataclass(frozen=True)
+class History:
+    """A versioned table: where its snapshots come from and which columns are tracked and guarded."""
+
+    source: str
+    snapshot: Callable[[DataFrame], DataFrame]
+    keys: list[str]
+    track: list[str]
+    guarded: list[str]
+
+
+HISTORIES = {
+    "player_stats_history": History(
+        "players", player_snapshot, ["player_id"], [*PLAYER_MEASURES, "rating_cumulative", "rating_0_to_10"], PLAYER_MEASURES
+    ),
+    "group_standings_history": History(
+        "group_standings", standings_snapshot, ["team_id"], ["team_name", "group_name", *STANDING_MEASURES], STANDING_GUARDS
+    ),
+}
+
+
+def build_silver(bronze: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The silver tables that are replaced as a whole; the histories are loaded version by version."""
     team_rows = teams(bronze["teams"])
     fixtures = matches(bronze["matches"], bronze["knockout_bracket"])
     return {
@@ -140,8 +155,6 @@ def build_silver(bronze: Mapping[str, DataFrame], history: Mapping[str, DataFram
         "group_standings": standings(bronze["group_standings"]),
         "matches": fixtures,
         "goal_events": goal_events(fixtures, team_rows),
-        "player_stats_history": player_history(history.get("player_stats_history"), player_snapshot(bronze["players"])),
-        "group_standings_history": standings_history(history.get("group_standings_history"), bronze["group_standings"]),
     }
 
 
@@ -219,19 +232,26 @@ def build_gold(silver: Mapping[str, DataFrame], as_of: Column) -> dict[str, Data
 
 
 def run_layers(
-    spark: SparkSession, bronze_dir: str, out_dir: str, as_of: Column, minimum: Mapping[str, int] = MINIMUM_ROWS,
+    spark: SparkSession, bronze_dir: str, out_dir: str, as_of: Column, load_id: str, minimum: Mapping[str, int] = MINIMUM_ROWS,
     first_load: bool = False,
 ) -> None:
-    """Read the landed tables, check them, and replace the silver and then the gold tables."""
-    bronze = {name: spark.read.parquet(f"{bronze_dir}/{name}") for name in MINIMUM_ROWS}
-    save_all_or_nothing({name: (df, minimum.get(name, 0)) for name, df in bronze.items()}, f"{out_dir}/bronze")
-    stored = {name: spark.read.parquet(f"{out_dir}/bronze/{name}") for name in bronze}
-    kept = ["player_stats_history", "group_standings_history"]
-    history = None if first_load else {name: spark.read.parquet(f"{out_dir}/silver/{name}") for name in kept}
-    save_all_or_nothing({name: (df, 0) for name, df in build_silver(stored, history).items()}, f"{out_dir}/silver")
-    silver = {path: spark.read.parquet(f"{out_dir}/silver/{path}") for path in SILVER}
+    """Read the landed tables, check them, and bring the silver and then the gold tables up to date.
+
+    ``load_id`` names the load; running the same load again gives the same tables. Of the histories only
+    the open versions are read and rewritten.
+    """
+
+    def stored(layer: str, names: Iterable[str]) -> dict[str, DataFrame]:
+        return {name: spark.read.parquet(f"{out_dir}/{layer}/{name}") for name in names}
+
+    landed = {name: spark.read.parquet(f"{bronze_dir}/{name}") for name in MINIMUM_ROWS}
+    save_all_or_nothing({name: (df, minimum.get(name, 0)) for name, df in landed.items()}, f"{out_dir}/bronze")
+    bronze = stored("bronze", landed)
+    built = build_silver(bronze)
+    save_all_or_nothing({name: (df, 0) for name, df in built.items()}, f"{out_dir}/silver")
+    silver = stored("silver", built)
+    for name, h in HISTORIES.items():
+        path = f"{out_dir}/silver/{name}"
+        load_history(spark, path, h.snapshot(bronze[h.source]), h.keys, h.track, h.guarded, load_id, exists=not first_load)
+        silver[name] = read_history(spark, path)
     save_all_or_nothing({name: (df, 0) for name, df in build_gold(silver, as_of).items()}, f"{out_dir}/gold")
-
-
-SILVER = ["players", "teams", "stadiums", "group_standings", "matches", "goal_events", "player_stats_history", "group_standings_history"]
-

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchmill.plans import layers
-from matchmill.sources.sinks import RowGateError
+from matchmill.sources.sinks import RowGateError, read_history
 
 LOAD1, LOAD2 = dt.datetime(2026, 7, 1, 23), dt.datetime(2026, 7, 5, 23)
 NOW = dt.datetime(2026, 7, 6, 20)
@@ -44,8 +44,13 @@ def gold(spark, tmp_path_factory):
     for n, load in enumerate((LOAD1, LOAD2)):
         landed = str(tmp_path_factory.mktemp("landed"))
         land(spark, landed, load, n > 0)
-        layers.run_layers(spark, landed, out, as_of, {}, first_load=n == 0)
-    return lambda name: spark.read.parquet(f"{out}/{name}")
+        layers.run_layers(spark, landed, out, as_of, f"load-{n}", {}, first_load=n == 0)
+
+    def table(name):
+        path = f"{out}/{name}"
+        return read_history(spark, path) if name.endswith("history") else spark.read.parquet(path)
+
+    return table
 
 
 def test_history_over_two_loads(gold):
@@ -99,5 +104,5 @@ def test_leaderboard_race_and_summary(gold):
 def test_small_load_changes_nothing(spark, tmp_path):
     land(spark, str(tmp_path / "in"), LOAD1, False)
     with pytest.raises(RowGateError, match="players: 3 < 50"):
-        layers.run_layers(spark, str(tmp_path / "in"), str(tmp_path / "out"), F.lit(NOW), first_load=True)
+        layers.run_layers(spark, str(tmp_path / "in"), str(tmp_path / "out"), F.lit(NOW), "load-0", first_load=True)
     assert not (tmp_path / "out").exists()

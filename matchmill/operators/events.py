@@ -104,7 +104,7 @@ def detail_text(actor: Column, minute: Column, is_penalty: Column) -> Column:
 
 
 def nested_rollup(
-    parents: DataFrame, events: DataFrame, key: str, side: str, text: Column, order: Sequence[str], bucket: Column,
+    parents: DataFrame, events: DataFrame, key: str, side: str, text: Column, order: Sequence[str], bucket: Column | None = None,
     page_size: int = 10_000,
 ) -> DataFrame:
     """Parents with their events as a sorted list per side: columns ``home_items``, ``away_items``, ``page``.
@@ -112,9 +112,17 @@ def nested_rollup(
     A list cell cannot grow without end, so a parent with more than ``page_size`` events on a side goes on
     in further rows (``page`` 1, 2, ...); nothing is left out and no task gathers more than one page. All
     other parents have just page 0. A side without events holds ``["NA"]`` on page 0.
+
+    Give ``bucket`` (rising with ``order``) unless the events of a side are bounded, as those parsed from
+    one packed text are: any other event table may have a parent with most of its rows.
     """
-    events = stage(events.select(key, side, *order, text.alias("_text"), bucket.alias("_bucket")), "rollup")
-    numbered = ordered_scan(events, [key, side], order, row_number="_seq", bucket=F.col("_bucket"))
+    if bucket is None:
+        events = events.select(key, side, *order, text.alias("_text"))
+        along = Window.partitionBy(key, side).orderBy(*order)
+        numbered = events.withColumn("_seq", F.row_number().over(along).cast("long"))
+    else:
+        events = stage(events.select(key, side, *order, text.alias("_text"), bucket.alias("_bucket")), "rollup")
+        numbered = ordered_scan(events, [key, side], order, row_number="_seq", bucket=F.col("_bucket"))
     paged = numbered.withColumn("page", F.floor((F.col("_seq") - 1) / page_size).cast("long"))
     item = F.struct("_seq", "_text")
     lists = paged.groupBy(key, "page").agg(

@@ -75,10 +75,3 @@ def any_of(conditions: Sequence[Column]) -> Column:
     for condition in conditions[1:]:
         out = out | condition
     return out
-
-
-def all_of(conditions: Sequence[Column]) -> Column:
-    out = conditions[0]
-    for condition in conditions[1:]:
-        out = out & condition
-    return out

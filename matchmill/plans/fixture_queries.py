@@ -7,17 +7,17 @@ from pyspark.sql import functions as F
 from matchmill.functions.outcomes import two_party_outcome
 from matchmill.functions.text import search_filter
 from matchmill.functions.times import delta_label, short_label, to_utc, parse_local
-from matchmill.operators.dedup import build_dimension, dedup_latest, top_rows, valid_keys
+from matchmill.operators.dedup import build_dimension, top_rows, valid_keys
 from matchmill.operators.joins import lookup_join, role_join
 from matchmill.operators.ranking import gap_to_leader, rank_rows, top_listing, top_with_ties
 from matchmill.operators.scan import global_row_number
-from matchmill.operators.shape import melt_metrics, unified_facts
+from matchmill.operators.shape import melt_metrics
 from matchmill.operators.sides import latest_state, participant_history, participant_totals, unpivot_sides
 from matchmill.plans import marts
 from matchmill.plans.registry import query
 from matchmill.session import stage
 from matchmill.plans.views import (
-    AS_OF, FIXTURES_SQL, LATEST, SIDES_SQL, TOTALS_SQL, VENUES_SQL, fixtures, fixtures_with_text, latest_lines, load, moment,
+    AS_OF, FIXTURES_SQL, SIDES_SQL, TOTALS_SQL, VENUES_SQL, fixtures, fixtures_with_text, latest_lines, load, moment,
     venue_zones,
 )
 
@@ -71,7 +71,7 @@ def _(spark, sf):
     f"""WITH {TOTALS_SQL} SELECT {TOTAL_COLUMNS},
     row_number() OVER (ORDER BY points DESC, goal_difference DESC, goals_for DESC, participant) AS position FROM standing""",
 )
-def participant_standings(spark, sf):
+def _(spark, sf):
     totals = participant_totals(fixtures(spark, sf))
     order = [F.col("points").desc(), F.col("goal_difference").desc(), F.col("goals_for").desc(), F.col("participant").asc()]
     return global_row_number(totals, order, "position")

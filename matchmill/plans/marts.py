@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from matchmill.functions.outcomes import is_shootout, result_for
 from matchmill.functions.text import canonical_name, lookup, name_key
 from matchmill.functions.times import hours_until, is_live, minutes_elapsed, parse_local, status_at, to_utc
-from matchmill.fixed_values import MEDALS, STAGES
+from matchmill.fixed_values import STAGES
 from matchmill.operators.dedup import top_rows
 from matchmill.operators.events import event_icon, event_sequences, top_actors
 from matchmill.operators.joins import lookup_join
@@ -221,7 +221,3 @@ def kpi_summary(
     folded = parts.agg(*[F.max(c).alias(c) for c in parts.columns])
     average = F.col("total_events") / F.nullif(F.col("completed_matches"), F.lit(0).cast("long"))
     return folded.withColumn("events_per_match", round_half_up(average, 2))
-
-
-def medal_for(rank: Column) -> Column:
-    return lookup(rank.cast("int"), MEDALS)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from matchmill.operators.events import parse_packed_events
 from matchmill.operators.tree import resolve_tree  # noqa: F401
 from matchmill.plans import marts, suites
 from matchmill.plans.event_queries import _detail
@@ -12,7 +11,7 @@ from matchmill.plans.fixture_queries import SCHEDULE_SQL, _group_ranks, _groups,
 from matchmill.plans.registry import query
 from matchmill.session import stage
 from matchmill.plans.snapshot_queries import RACE_SQL, _race
-from matchmill.plans.views import EVENTS_SQL, FIXTURES_SQL, RACE_ORDER, TOTALS_SQL, fixtures, load, packed_events, state_at, state_sql
+from matchmill.plans.views import EVENTS_SQL, RACE_ORDER, TOTALS_SQL, fixtures, state_at, state_sql
 from matchmill.operators.sides import participant_totals
 
 REPORT = "CAST(sum(w) AS BIGINT) AS failure_count FROM f GROUP BY failure_type, failure_detail"

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from matchmill.fixed_values import NAME_ALIASES
@@ -43,22 +44,25 @@ def test_top_actor_orders_minutes_as_numbers(spark):
     assert got == {(True, "New", 1), (False, "B", 2)}
 
 
-def rollup(spark, df, **kw):
+def rollup(spark, df, bucketed=False, **kw):
     ev = with_event_order(parse_packed_events(df))
     text = detail_text(F.col("actor"), F.col("minute"), F.col("is_penalty"))
-    return nested_rollup(df.select("match_id"), ev, "match_id", "is_home", text, event_order(), F.col("minute_base"), **kw)
+    bucket = F.col("minute_base") if bucketed else None
+    return nested_rollup(df.select("match_id"), ev, "match_id", "is_home", text, event_order(), bucket, **kw)
 
 
-def test_nested_rollup_order_and_filler(spark):
+@pytest.mark.parametrize("bucketed", [True, False])
+def test_nested_rollup_order_and_filler(spark, bucketed):
     df = events(spark, ("""{"B 85'","A 9'(p)","C 90+1'"}""", None), ("null", "null"))
-    got = {r.match_id: (r.home_items, r.away_items, r.page) for r in rollup(spark, df).collect()}
+    got = {r.match_id: (r.home_items, r.away_items, r.page) for r in rollup(spark, df, bucketed).collect()}
     assert got == {0: (["A (9) (PEN)", "B (85)", "C (90+1)"], ["NA"], 0), 1: (["NA"], ["NA"], 0)}
 
 
-def test_nested_rollup_pages_keep_everything(spark):
+@pytest.mark.parametrize("bucketed", [True, False])
+def test_nested_rollup_pages_keep_everything(spark, bucketed):
     names = ",".join(f'"P{chr(97 + i % 26)} {i}\'"' for i in range(1, 90))
     df = events(spark, ("{" + names + "}", """{"X 3'"}"""))
-    got = sorted(rollup(spark, df, page_size=10).collect(), key=lambda r: r.page)
+    got = sorted(rollup(spark, df, bucketed, page_size=10).collect(), key=lambda r: r.page)
     assert [r.page for r in got] == list(range(9))
     assert sum(len(r.home_items) for r in got) == 89 and max(len(r.home_items) for r in got) == 10
     assert [r.away_items for r in got] == [["X (3)"]] + [[]] * 8

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from matchmill.functions.text import clean_sentinels, coerce_types, safe_int
 from matchmill.fixed_values import MINIMUM_ROWS
 from matchmill.plans.registry import query
+from matchmill.session import shared_dir
 from matchmill.plans.views import FIXTURES_SQL, fixtures, load
 from matchmill.sources.feeds import (
     FIXTURES_FEED, RANKED_FEED, STANDINGS_FEED, VENUES_FEED, attach_key, distinct_teams, fixtures_feed, merge_feeds, parse_payload,
-    ranked_feed, row_gate, standings_feed, surrogate_keys, table_row_counts, venues_feed,
+    ranked_feed, read_landing, row_gate, standings_feed, surrogate_keys, table_row_counts, venues_feed,
 )
-from matchmill.sources.sinks import json_records
+from matchmill.sources.sinks import json_records, write_json
 
 
 def _ranked_payloads(spark, sf):
@@ -190,6 +193,16 @@ def _(spark, sf):
     return json_records(rows)
 
 
+@query("json_landing", "SELECT s_suppkey AS id, s_name AS name, CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal END AS balance FROM supplier")
+def _(spark, sf):
+    """Written as JSON records by the tasks and read back with a schema."""
+    supplier = load(spark, sf, "supplier", "s_suppkey", "s_name", "s_acctbal")
+    path = f"{shared_dir(spark)}/records-{uuid.uuid4().hex}"
+    balance = F.when(F.col("s_suppkey") % 2 == 0, F.col("s_acctbal"))
+    write_json(supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), balance.alias("balance")), path)
+    return read_landing(spark, path, "id bigint, name string, balance double", multi_line=False)
+
+
 def _tables(spark, sf):
     roles = {"players": "customer", "teams": "nation", "matches": "lineitem", "group_standings": "part", "stadiums": "region", "knockout_bracket": "orders"}
     return {role: load(spark, sf, table) for role, table in roles.items()}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from matchmill.functions.outcomes import two_party_outcome
 from matchmill.functions.text import search_filter
-from matchmill.functions.times import delta_label, short_label, to_utc, parse_local
+from matchmill.functions.times import delta_label, parse_instant, parse_local, short_label, to_utc, with_zone
 from matchmill.operators.dedup import build_dimension, top_rows, valid_keys
 from matchmill.operators.joins import lookup_join, role_join
 from matchmill.operators.ranking import gap_to_leader, rank_rows, top_listing, top_with_ties
@@ -320,6 +320,26 @@ def _(spark, sf):
     return rows.select("o_orderkey", delta_label(at, moment(AS_OF)).alias("label"), short_label(at).alias("shown"))
 
 
+@query("instant_parse", "SELECT event_id, date_trunc('second', ts) AS at FROM events")
+def _(spark, sf):
+    """Times as texts in three encodings, read back."""
+    events = load(spark, sf, "events", "event_id", "ts")
+    at, turn = F.col("ts"), F.col("event_id") % 3
+    plus_two = at + F.make_dt_interval(F.lit(0), F.lit(2), F.lit(0), F.lit(0))
+    text = (
+        F.when(turn == 0, F.date_format(at, "yyyy-MM-dd HH:mm:ss")).when(turn == 1, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.'000Z'"))
+        .otherwise(F.date_format(plus_two, "yyyy-MM-dd'T'HH:mm:ss'+02:00'"))
+    )
+    return events.select("event_id", parse_instant(text).alias("at"))
+
+
+@query("zone_suffix", """SELECT o_orderkey, strftime(o_orderdate, '%m/%d/%Y %H:%M') || ' ' || CASE o_orderkey % 4 WHEN 0 THEN 'CDT' WHEN 1 THEN 'PDT' ELSE 'EDT' END AS shown FROM orders""")
+def _(spark, sf):
+    zone = F.element_at(F.array(*[F.lit(z) for z in ("America/Chicago", "America/Vancouver", "America/Toronto", "Elsewhere")]), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    rows = load(spark, sf, "orders", "o_orderkey", "o_orderdate")
+    return rows.select("o_orderkey", with_zone(F.date_format("o_orderdate", "MM/dd/yyyy HH:mm"), zone).alias("shown"))
+
+
 @query(
     "search_filter",
     """SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE lower(c_name) LIKE '%mer#00000001%' OR lower(c_mktsegment) LIKE '%mer#00000001%'

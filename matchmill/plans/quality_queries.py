@@ -113,6 +113,17 @@ def _(spark, sf):
     return rows.select("match_id", reason.alias("reason"))
 
 
+@query("dq_complete_stats", f"""WITH {state_sql('now')} SELECT user_id, CASE WHEN assists = 0 THEN 'no assists' WHEN matches < 60 THEN 'few matches' ELSE 'few minutes' END AS reason
+  FROM now WHERE goals > 0 AND (assists = 0 OR matches < 60 OR minutes < 2500)""")
+def _(spark, sf):
+    """Scorers whose other numbers are incomplete, with the first reason."""
+    reason = (
+        F.when(F.col("assists") == 0, "no assists").when(F.col("matches") < 60, "few matches").when(F.col("minutes") < 2500, "few minutes")
+    )
+    rows = state_at(spark, sf).filter("goals > 0").withColumn("reason", reason)
+    return rows.filter(F.col("reason").isNotNull()).select("user_id", "reason")
+
+
 @query("dq_row_budget", f"""WITH {FIXTURES_SQL} SELECT 'winner' AS budget, n FROM (SELECT count(*) FILTER (winner IS NULL) AS n FROM fx) WHERE n > 2
   UNION ALL SELECT 'names', n FROM (SELECT count(*) FILTER (home_team IS NULL) AS n FROM fx) WHERE n > 2 UNION ALL SELECT 'rows', n FROM (SELECT count(*) AS n FROM fx) WHERE n NOT BETWEEN 1 AND 10""")
 def _(spark, sf):

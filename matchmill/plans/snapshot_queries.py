@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from matchmill.operators.asof import asof_snapshot, current_leaders, forward_fill, path_signature, race, race_leaders
@@ -11,7 +13,8 @@ from matchmill.operators.ranking import percent_ranks, top_with_ties
 from matchmill.plans import marts
 from matchmill.operators.scan import ordered_scan
 from matchmill.plans.registry import query
-from matchmill.session import stage
+from matchmill.session import shared_dir, stage
+from matchmill.sources.sinks import load_history, read_history
 from matchmill.plans.views import (
     CHECKPOINTS_SQL, EVENTS_SQL, MEASURES, RACE_ORDER, SNAPSHOTS_SQL, T1, T2, activity, checkpoints, load, moment,
     packed_events, running, snapshots, state_at, state_sql,
@@ -81,6 +84,15 @@ def _(spark, sf):
     return scd2_apply(history, second, **LOADED)
 
 
+@query("scd2_table", f"WITH {LOADS_SQL} SELECT {', '.join(VERSION)} FROM hist")
+def _(spark, sf):
+    """The same through a stored table, whose open versions alone are rewritten."""
+    path = f"{shared_dir(spark)}/history-{uuid.uuid4().hex}"
+    for n, snapshot in enumerate(_loads(spark, sf)):
+        load_history(spark, path, snapshot, ["user_id"], MEASURES, MEASURES, f"load-{n}", exists=n > 0)
+    return read_history(spark, path).select(*VERSION)
+
+
 @query("scd2_close", f"WITH {LOADS_SQL} SELECT {', '.join(VERSION)} FROM hist WHERE valid_from = TIMESTAMP '{T1}'")
 def _(spark, sf):
     history, second = _history(spark, sf)

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from matchmill.functions.text import suffix_number
+from matchmill.operators.joins import lookup_join
 from matchmill.operators.tree import build_tree, half_by_suffix, open_items_or_podium, podium, resolve_tree, resolve_tree_sorted
 from matchmill.plans.registry import query
-from matchmill.plans.views import TREE_SQL, load, tree_nodes
+from matchmill.plans.views import TREE_SQL, VENUES_SQL, load, tree_nodes, venue_zones
+
+VENUE_LIST = f"WITH {VENUES_SQL} SELECT * FROM venues"
 
 CHILDREN_SQL = f"""{TREE_SQL},
 fed AS (
@@ -53,7 +57,8 @@ def _(spark, sf):
 
 
 @query("bracket_listing", f"""WITH {TREE_SQL} SELECT priority, CASE priority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 3 WHEN '5-LOW' THEN 4 ELSE 5 END AS ordinal,
-  position, feeds_into, winner, count(*) OVER (PARTITION BY priority) AS in_round, count(winner) OVER (PARTITION BY priority) AS decided FROM nodes""")
+  position, feeds_into, winner, city, count(*) OVER (PARTITION BY priority) AS in_round, count(winner) OVER (PARTITION BY priority) AS decided
+  FROM nodes LEFT JOIN ({VENUE_LIST}) v ON v.venue_id = CAST(k % 20 AS VARCHAR)""")
 def _(spark, sf):
     nodes = tree_nodes(spark, sf)
     priority = F.col("priority")
@@ -61,8 +66,25 @@ def _(spark, sf):
         F.when(priority == "1-URGENT", 1).when(priority == "2-HIGH", 2).when(priority == "3-MEDIUM", 3).when(priority == "5-LOW", 4).otherwise(5)
     )
     rounds = nodes.groupBy("priority").agg(F.count(F.lit(1)).alias("in_round"), F.count("winner").alias("decided"))
-    listing = nodes.join(rounds, "priority").withColumn("ordinal", ordinal).orderBy("ordinal", "position")
-    return listing.select("priority", "ordinal", "position", "feeds_into", "winner", "in_round", "decided")
+    listing = nodes.join(rounds, "priority").withColumns(
+        {"ordinal": ordinal, "venue_id": (F.col("match_id").cast("long") % 20).cast("string")}
+    )
+    listing = lookup_join(listing, venue_zones(spark), {"venue_id": "venue_id"}, {"city": "city"}).orderBy("ordinal", "position")
+    return listing.select("priority", "ordinal", "position", "feeds_into", "winner", "city", "in_round", "decided")
+
+
+@query("bracket_status_counts", f"""WITH {TREE_SQL} SELECT CASE WHEN is_finished THEN 'Finished' WHEN home_team IS NULL THEN 'Not Started' ELSE 'Scheduled' END AS status,
+  side, count(*) AS nodes, count(winner) AS winners FROM nodes GROUP BY ALL""")
+def _(spark, sf):
+    status = F.when(F.col("is_finished"), "Finished").when(F.col("home_team").isNull(), "Not Started").otherwise("Scheduled")
+    nodes = tree_nodes(spark, sf).groupBy(status.alias("status"), "side")
+    return nodes.agg(F.count(F.lit(1)).alias("nodes"), F.count("winner").alias("winners"))
+
+
+@query("progression_listing", f"WITH {TREE_SQL} SELECT position, winner, feeds_into FROM nodes WHERE winner IS NOT NULL")
+def _(spark, sf):
+    decided = tree_nodes(spark, sf).filter("winner IS NOT NULL")
+    return decided.orderBy(suffix_number(F.col("position"))).select("position", "winner", "feeds_into")
 
 
 @query("tree_build", """WITH m AS (SELECT o_orderkey AS k, CAST(floor(log2(greatest(o_orderkey, 1))) AS INTEGER) AS level, (SELECT max(o_orderkey) FROM orders) AS last FROM orders WHERE o_orderkey > 0),

@@ -87,9 +87,9 @@ def event_sequences(events: DataFrame, kickoff: str = "kickoff") -> DataFrame:
 
 def top_actors(events: DataFrame, side: str = "is_home") -> DataFrame:
     """Per fixture and side the actor with most events; later last event, then name, break ties."""
-    counted = with_event_order(events).groupBy("match_id", side, "actor").agg(
-        F.count(F.lit(1)).alias("events"), F.max(F.struct("minute_base", "stoppage_or_0")).alias("_last")
-    )
+    # Minute and stoppage in one number: a struct would force a sort-based aggregation.
+    place = F.shiftleft(F.col("minute_base").cast("long"), 32) + F.coalesce("stoppage", F.lit(0))
+    counted = events.groupBy("match_id", side, "actor").agg(F.count(F.lit(1)).alias("events"), F.max(place).alias("_last"))
     order = [F.col("events").desc(), F.col("_last").desc(), F.col("actor").asc()]
     return top_rows(counted, ["match_id", side], order).drop("_last")
 
@@ -116,24 +116,27 @@ def nested_rollup(
     Give ``bucket`` (rising with ``order``) unless the events of a side are bounded, as those parsed from
     one packed text are: any other event table may have a parent with most of its rows.
     """
+    names = {"home_items": True, "away_items": False}
+
+    def sorted_lists(item: Column) -> list[Column]:
+        lists = {n: F.array_sort(F.collect_list(F.when(F.col(side) == is_home, item))) for n, is_home in names.items()}
+        return [F.transform(column, lambda x: x["_text"]).alias(n) for n, column in lists.items()]
+
     if bucket is None:
-        events = events.select(key, side, *order, text.alias("_text"))
-        along = Window.partitionBy(key, side).orderBy(*order)
-        numbered = events.withColumn("_seq", F.row_number().over(along).cast("long"))
+        # Bounded lists: gather them in one shuffle, then cut them into pages inside the row.
+        whole = events.select(key, side, *order, text.alias("_text")).groupBy(key).agg(*sorted_lists(F.struct(*order, "_text")))
+        last = F.floor((F.greatest(*[F.size(n) for n in names]) - 1) / page_size).cast("long")
+        pages = whole.withColumn("page", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        start = (F.col("page") * page_size + 1).cast("int")
+        lists = pages.withColumns({n: F.slice(n, start, F.lit(page_size)) for n in names})
     else:
-        events = stage(events.select(key, side, *order, text.alias("_text"), bucket.alias("_bucket")), "rollup")
-        numbered = ordered_scan(events, [key, side], order, row_number="_seq", bucket=F.col("_bucket"))
-    paged = numbered.withColumn("page", F.floor((F.col("_seq") - 1) / page_size).cast("long"))
-    item = F.struct("_seq", "_text")
-    lists = paged.groupBy(key, "page").agg(
-        *[
-            F.transform(F.array_sort(F.collect_list(F.when(F.col(side) == is_home, item))), lambda x: x["_text"]).alias(name)
-            for name, is_home in (("home_items", True), ("away_items", False))
-        ]
-    )
+        rows = stage(events.select(key, side, *order, text.alias("_text"), bucket.alias("_bucket")), "rollup")
+        numbered = ordered_scan(rows, [key, side], order, row_number="_seq", bucket=F.col("_bucket"))
+        paged = numbered.withColumn("page", F.floor((F.col("_seq") - 1) / page_size).cast("long"))
+        lists = paged.groupBy(key, "page").agg(*sorted_lists(F.struct("_seq", "_text")))
     out = parents.join(lists, key, "left").withColumn("page", F.coalesce("page", F.lit(0).cast("long")))
     filler = {}
-    for name in ("home_items", "away_items"):
+    for name in names:
         empty = F.coalesce(F.size(name), F.lit(0)) <= 0
         filler[name] = F.when(empty & (F.col("page") == 0), F.array(F.lit("NA"))).when(empty, F.array().cast("array<string>")).otherwise(F.col(name))
     return out.withColumns(filler)

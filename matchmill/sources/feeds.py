@@ -128,10 +128,12 @@ def merge_feeds(
 
 def surrogate_keys(df: DataFrame, name: str, seen: Sequence[str], prefix: str = "team_") -> DataFrame:
     """(name, id): ids ``<prefix>1``, ``<prefix>2``, ... by where a name first occurs (``seen``, ascending)."""
-    first = df.groupBy(name).agg(F.min(F.struct(*seen)).alias("_first"))
-    order = [F.col(f"_first.{c}") for c in seen]
-    flat = first.select(name, *[c.alias(f"_o{i}") for i, c in enumerate(order)])
-    numbered = global_row_number(flat, [*[f"_o{i}" for i in range(len(order))], name], "_n")
+    if len(seen) == 1:
+        flat = df.groupBy(name).agg(F.min(seen[0]).alias("_o0"))
+    else:
+        first = df.groupBy(name).agg(F.min(F.struct(*seen)).alias("_first"))
+        flat = first.select(name, *[F.col(f"_first.{c}").alias(f"_o{i}") for i, c in enumerate(seen)])
+    numbered = global_row_number(flat, [*[f"_o{i}" for i in range(len(seen))], name], "_n")
     return numbered.select(name, F.concat(F.lit(prefix), F.col("_n").cast("string")).alias("surrogate_id"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from matchmill.functions.text import clean_sentinels, coerce_types, safe_int
 from matchmill.fixed_values import MINIMUM_ROWS
 from matchmill.plans.registry import query
-from matchmill.session import shared_dir
+from matchmill.session import app_dir
 from matchmill.plans.views import FIXTURES_SQL, fixtures, load
 from matchmill.sources.feeds import (
     FIXTURES_FEED, RANKED_FEED, STANDINGS_FEED, VENUES_FEED, attach_key, distinct_teams, fixtures_feed, merge_feeds, parse_payload,
@@ -197,7 +197,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Written as JSON records by the tasks and read back with a schema."""
     supplier = load(spark, sf, "supplier", "s_suppkey", "s_name", "s_acctbal")
-    path = f"{shared_dir(spark)}/records-{uuid.uuid4().hex}"
+    path = f"{app_dir(spark)}/records-{uuid.uuid4().hex}"
     balance = F.when(F.col("s_suppkey") % 2 == 0, F.col("s_acctbal"))
     write_json(supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), balance.alias("balance")), path)
     return read_landing(spark, path, "id bigint, name string, balance double", multi_line=False)

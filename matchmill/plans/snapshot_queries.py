@@ -13,7 +13,7 @@ from matchmill.operators.ranking import percent_ranks, top_with_ties
 from matchmill.plans import marts
 from matchmill.operators.scan import ordered_scan
 from matchmill.plans.registry import query
-from matchmill.session import shared_dir, stage
+from matchmill.session import app_dir, stage
 from matchmill.sources.sinks import load_history, read_history
 from matchmill.plans.views import (
     CHECKPOINTS_SQL, EVENTS_SQL, MEASURES, RACE_ORDER, SNAPSHOTS_SQL, T1, T2, activity, checkpoints, load, moment,
@@ -87,7 +87,7 @@ def _(spark, sf):
 @query("scd2_table", f"WITH {LOADS_SQL} SELECT {', '.join(VERSION)} FROM hist")
 def _(spark, sf):
     """The same through a stored table, whose open versions alone are rewritten."""
-    path = f"{shared_dir(spark)}/history-{uuid.uuid4().hex}"
+    path = f"{app_dir(spark)}/history-{uuid.uuid4().hex}"
     for n, snapshot in enumerate(_loads(spark, sf)):
         load_history(spark, path, snapshot, ["user_id"], MEASURES, MEASURES, f"load-{n}", exists=n > 0)
     return read_history(spark, path).select(*VERSION)

@@ -46,13 +46,19 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def app_dir(spark: SparkSession) -> str:
+    """This application's own folder in the shared one."""
+    return f"{shared_dir(spark)}/{spark.conf.get('spark.app.id', 'matchmill')}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where a later step must see exactly the same rows twice (partition numbers, a table that is
-    read and replaced): the copy survives lost executors and cuts the lineage.
+    read and replaced): the copy survives lost executors and cuts the lineage. All copies of an
+    application lie in one folder named after it, which may be removed once the application has ended.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{app_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from matchmill.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,13 +14,13 @@ def duck():
     return check.connect(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalog.queries()))
 def test_query_agrees_with_sql(spark, duck, name):
     assert check.compare(spark, SF, name, duck).startswith("ok")
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(catalog.oracle_sql()) == set(catalog.queries())
 
 
 def test_entry_runs(spark):

@@ -19,10 +19,12 @@ from pyspark.sql import DataFrame
 
 from matchmill.llm.text import add_columns
 
-#: Fixed value: the pattern that cuts a text into pieces before the merges.
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The short forms that the pattern of pieces takes as one,
+#: 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
+SHORT_FORMS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Pieces and pairs of tokens whose results are kept at a time.
-REMEMBERED = 150_000
+REMEMBERED = 250_000
+SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
 
 def byte_letters() -> dict[str, int]:
@@ -32,6 +34,47 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+def character_classes() -> np.ndarray:
+    """The class of every code point: white space, letter, number or other."""
+    out = np.full(0x110000, OTHER, np.uint8)
+    every = "".join(map(chr, [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]))
+    for kind, pattern in ((SPACE, r"\s+"), (LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+")):
+        for run in regex.finditer(pattern, every):
+            out[[ord(c) for c in run.group()]] = kind
+    return out
+
+
+def pieces(text: str, classes: np.ndarray) -> list[str]:
+    """A text cut as the pattern of pieces does, from the borders between runs of one class.
+
+    A space (U+0020) before a run of letters, numbers or others goes with it; any other last white space before such a run stands
+    alone; the white space before that, or at the end of the text, is one piece.
+    """
+    if not text:
+        return []
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    kind = classes[code]
+    cut = np.empty(len(code) + 1, np.bool_)
+    cut[0] = cut[-1] = True
+    np.not_equal(kind[1:], kind[:-1], out=cut[1:-1])
+    runs = np.flatnonzero(cut[:-1])
+    runs = runs[(kind[runs] != SPACE) & (runs > 0)]
+    after_space = runs[kind[runs - 1] == SPACE]
+    cut[after_space - 1] = True
+    cut[after_space[code[after_space - 1] == 32]] = False
+    marks = np.flatnonzero(code == 39)
+    if len(marks):
+        before = np.where(marks > 0, code[marks - 1], 0)
+        starts = marks[cut[marks] & (before != 32) & cut[marks + 1]]
+        for at in starts.tolist():
+            form = next((f for f in SHORT_FORMS if text.startswith(f, at + 1)), None)
+            if form:
+                cut[at + 1] = False
+                cut[at + 1 + len(form)] = True
+    places = np.flatnonzero(cut).tolist()
+    return [text[a:b] for a, b in zip(places, places[1:], strict=False)]
+
+
 class _Recent(dict):
     """Results of ``make`` for recent keys: two generations, each of at most ``REMEMBERED`` keys."""
 
@@ -86,7 +129,8 @@ class Codec:
         self.id = [vocabulary.ids[n] for n in names]
         self.special = dict(vocabulary.special)
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.find = regex.compile(PIECES).findall
+        classes = character_classes()
+        self.find = lambda part: pieces(part, classes)
         self.compatible = _Recent(self._compatible)
         self.pieces = _Recent(self._encode_piece)
         by_id = {i: n for n, i in zip(names, self.id, strict=True)} | {i: s.encode() for s, i in self.special.items()}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -98,7 +99,14 @@ def shingle_hashes(hashes: np.ndarray, size: int = 5) -> np.ndarray:
 
 
 def bounded_batches(df: DataFrame) -> None:
-    """Set how many rows and bytes Spark hands to Python at once."""
+    """Set how many rows and bytes Spark hands to Python at once, and let local Python workers find this package.
+
+    On a cluster the package is shipped as all Python code is, with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = df.sparkSession.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH")]))
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 

@@ -18,7 +18,7 @@ from matchmill.llm.ngrams import GramSets
 from matchmill.llm.text import add_columns, flat_map
 from matchmill.llm.training import labelled_sample, prior_shift
 
-SIZES, BITS = (4, 5, 6), 19
+SIZES, BITS = (3, 4, 5), 18
 
 
 @dataclass
@@ -39,7 +39,7 @@ def log_count_ratios(sets: Sequence[np.ndarray], labels: np.ndarray, smooth: flo
     return np.log(share[1] / share[0]), counts.sum(axis=0)
 
 
-def fit(sets: Sequence[np.ndarray], labels: Sequence[float], shift: float = 0.0, least: int = 4, ratio: float = 0.7, rounds: int = 150) -> LinearModel:
+def fit(sets: Sequence[np.ndarray], labels: Sequence[float], shift: float = 0.0, least: int = 4, ratio: float = 0.7, rounds: int = 500) -> LinearModel:
     """A model from sets of n-grams and labels. N-grams of fewer than ``least`` texts or a smaller log ratio get no weight."""
     labels = np.asarray(labels, np.float64)
     if not len(labels) or labels.min() == labels.max():
@@ -51,15 +51,15 @@ def fit(sets: Sequence[np.ndarray], labels: Sequence[float], shift: float = 0.0,
     used, place = np.unique(np.concatenate(kept), return_inverse=True)
     value = ratios[used][place]
     weights, bias = np.zeros(len(used)), 0.0
-    speed, speed_bias, decay, step = np.zeros(len(used)), 0.0, 1e-4, 0.0
+    speed, speed_bias, decay = np.zeros(len(used)), 0.0, 1e-4
     norm = np.bincount(owner, value * value, len(kept)).max() + 1.0
-    step = 4.0 * len(labels) / (norm * len(labels))
+    step = 40.0 / norm
     for _ in range(rounds):  # gradient descent with momentum on all rows
         ahead, ahead_bias = weights + 0.9 * speed, bias + 0.9 * speed_bias
         odds = np.bincount(owner, value * ahead[place], len(kept)) + ahead_bias
         error = 1.0 / (1.0 + np.exp(-np.clip(odds, -60, 60))) - labels
         slope = np.bincount(place, value * error[owner], len(used)) / len(labels) + decay * ahead
-        speed = 0.9 * speed - step * 10 * slope
+        speed = 0.9 * speed - step * slope
         speed_bias = 0.9 * speed_bias - 0.5 * error.mean()
         weights, bias = weights + speed, bias + speed_bias
     out = np.zeros(1 << BITS, np.float32)

@@ -39,7 +39,7 @@ def log_count_ratios(sets: Sequence[np.ndarray], labels: np.ndarray, smooth: flo
     return np.log(share[1] / share[0]), counts.sum(axis=0)
 
 
-def fit(sets: Sequence[np.ndarray], labels: Sequence[float], shift: float = 0.0, least: int = 4, ratio: float = 0.7, rounds: int = 500) -> LinearModel:
+def fit(sets: Sequence[np.ndarray], labels: Sequence[float], shift: float = 0.0, least: int = 4, ratio: float = 0.7, decay: float = 3e-4, rounds: int = 100) -> LinearModel:
     """A model from sets of n-grams and labels. N-grams of fewer than ``least`` texts or a smaller log ratio get no weight."""
     labels = np.asarray(labels, np.float64)
     if not len(labels) or labels.min() == labels.max():
@@ -50,21 +50,47 @@ def fit(sets: Sequence[np.ndarray], labels: Sequence[float], shift: float = 0.0,
     owner = np.repeat(np.arange(len(kept)), [len(k) for k in kept])
     used, place = np.unique(np.concatenate(kept), return_inverse=True)
     value = ratios[used][place]
-    weights, bias = np.zeros(len(used)), 0.0
-    speed, speed_bias, decay = np.zeros(len(used)), 0.0, 1e-4
-    norm = np.bincount(owner, value * value, len(kept)).max() + 1.0
-    step = 40.0 / norm
-    for _ in range(rounds):  # gradient descent with momentum on all rows
-        ahead, ahead_bias = weights + 0.9 * speed, bias + 0.9 * speed_bias
-        odds = np.bincount(owner, value * ahead[place], len(kept)) + ahead_bias
+
+    def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
+        odds = np.bincount(owner, value * x[place], len(kept)) + x[-1]
         error = 1.0 / (1.0 + np.exp(-np.clip(odds, -60, 60))) - labels
-        slope = np.bincount(place, value * error[owner], len(used)) / len(labels) + decay * ahead
-        speed = 0.9 * speed - step * slope
-        speed_bias = 0.9 * speed_bias - 0.5 * error.mean()
-        weights, bias = weights + speed, bias + speed_bias
+        slope = np.append(np.bincount(place, value * error[owner], len(used)), error.sum()) / len(labels)
+        slope[:-1] += decay * x[:-1]
+        return float((np.logaddexp(0.0, odds) - labels * odds).mean() + decay / 2 * (x[:-1] @ x[:-1])), slope
+
+    found = minimise(loss, np.zeros(len(used) + 1), rounds)
     out = np.zeros(1 << BITS, np.float32)
-    out[used] = weights * ratios[used]
-    return LinearModel(out, bias + shift)
+    out[used] = found[:-1] * ratios[used]
+    return LinearModel(out, float(found[-1]) + shift)
+
+
+def minimise(loss, x: np.ndarray, rounds: int, memory: int = 8) -> np.ndarray:
+    """A minimum of a smooth convex function by limited-memory BFGS steps, each halved until it goes down enough."""
+    value, slope = loss(x)
+    moves: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(rounds):
+        way, sizes = -slope, []
+        for step, change, scale in reversed(moves):
+            sizes.append(scale * (step @ way))
+            way = way - sizes[-1] * change
+        if moves:
+            step, change, scale = moves[-1]
+            way = way / (scale * (change @ change))
+        for (step, change, scale), size in zip(moves, reversed(sizes), strict=True):
+            way = way + (size - scale * (change @ way)) * step
+        fall, length = slope @ way, 1.0 if moves else 1.0 / max(1.0, float(np.abs(slope).sum()))
+        while True:
+            after, new = loss(x + length * way)
+            if after <= value + 1e-4 * length * fall or length < 1e-10:
+                break
+            length /= 2
+        if length < 1e-10 or value - after < 1e-9:
+            return x
+        step, change = length * way, new - slope
+        if step @ change > 1e-12:
+            moves = [*moves[1 - memory :], (step, change, 1.0 / (step @ change))]
+        x, value, slope = x + step, after, new
+    return x
 
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column, label: str = "toxic", per_class: int = 2500, text: str = "text") -> LinearModel:

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from matchmill.llm import op1_queries, op10_queries, op2_queries, op3_queries, op4_queries, op5_queries, op6_queries, op7_queries, op8_queries, op9_queries  # noqa: F401
-from matchmill.llm.registry import QUERIES, SQL, Query
+import corpus_pipeline
+from matchmill.llm import (  # noqa: F401
+    op1_queries, op2_queries, op3_queries, op4_queries, op5_queries, op6_queries, op7_queries, op8_queries, op9_queries, op10_queries,
+)
+from matchmill.llm.registry import QUERIES, SQL, Query, query
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
 
 
 def queries() -> dict[str, Query]:

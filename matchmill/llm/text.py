@@ -128,6 +128,8 @@ def add_columns(
     taken = df.select(*[F.col(f"`{c}`") for c in keep], as_bytes(text).alias("_text"), *[F.col(f"`{c}`") for c in also])
     added = _parse_datatype_string(new)
     schema = StructType(taken.schema.fields[: len(keep)] + added.fields)
+    # Under names of their own, as a kept column may have any.
+    taken = taken.toDF(*[f"c{k}" for k in range(len(taken.columns))])
     return taken.mapInArrow(_adder(make, list(keep), added), schema)
 
 

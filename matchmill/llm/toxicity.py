@@ -18,7 +18,7 @@ from matchmill.llm.ngrams import GramSets
 from matchmill.llm.text import add_columns, flat_map
 from matchmill.llm.training import labelled_sample, prior_shift
 
-SIZES, BITS = (3, 4, 5), 18
+SIZES, BITS = (3, 5, 7), 19
 
 
 @dataclass
@@ -39,7 +39,7 @@ def log_count_ratios(sets: Sequence[np.ndarray], labels: np.ndarray, smooth: flo
     return np.log(share[1] / share[0]), counts.sum(axis=0)
 
 
-def fit(sets: Sequence[np.ndarray], labels: Sequence[float], shift: float = 0.0, least: int = 4, ratio: float = 0.7, decay: float = 3e-4, rounds: int = 100) -> LinearModel:
+def fit(sets: Sequence[np.ndarray], labels: Sequence[float], shift: float = 0.0, least: int = 3, ratio: float = 1.5, decay: float = 1e-4, rounds: int = 100) -> LinearModel:
     """A model from sets of n-grams and labels. N-grams of fewer than ``least`` texts or a smaller log ratio get no weight."""
     labels = np.asarray(labels, np.float64)
     if not len(labels) or labels.min() == labels.max():
@@ -93,7 +93,7 @@ def minimise(loss, x: np.ndarray, rounds: int, memory: int = 8) -> np.ndarray:
     return x
 
 
-def train(docs: DataFrame, labels: DataFrame, allowed: Column, label: str = "toxic", per_class: int = 2500, text: str = "text") -> LinearModel:
+def train(docs: DataFrame, labels: DataFrame, allowed: Column, label: str = "toxic", per_class: int = 1500, text: str = "text") -> LinearModel:
     """A model from about ``per_class`` labelled texts of each class, of those that ``allowed`` lets in.
 
     Without rows of both classes the model gives every text the same score.

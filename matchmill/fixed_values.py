@@ -74,7 +74,6 @@ MINIMUM_ROWS = {"players": 50, "teams": 40, "matches": 90, "group_standings": 50
 MEDALS = {1: "🥇", 2: "🥈", 3: "🥉"}
 EVENT_ICON = "⚽"
 PENALTY_ICON = "⚽ (PEN)"
-LINE_PATTERNS = ["", "6 4", "2 4 6 4", "1 4"]
 
 # Local time text, as MM/dd/yyyy HH:mm.
 LOCAL_TIME_PATTERN = r"^(\d{2})/(\d{2})/(\d{4}) (\d{2}:\d{2})$"

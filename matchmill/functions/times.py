@@ -65,7 +65,8 @@ def minutes_elapsed(start: Column, finished: Column, as_of: Column) -> Column:
 
 def parse_instant(text: Column) -> Column:
     """A UTC instant from ``yyyy-MM-dd HH:mm:ss`` (taken as UTC) or from ISO text with a zone."""
-    zoned = text.rlike(r"([zZ]|[+-]\d{2}:\d{2})$")
+    sign, colon = F.substring(text, -6, 1), F.substring(text, -3, 1)
+    zoned = F.endswith(F.upper(text), F.lit("Z")) | (sign.isin("+", "-") & (colon == ":"))
     instant = F.convert_timezone(F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz"))
     return F.when(zoned, instant).otherwise(text.try_cast("timestamp_ntz"))
 

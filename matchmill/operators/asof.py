@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchmill.fixed_values import LINE_PATTERNS, MEDALS
+from matchmill.fixed_values import MEDALS
 from matchmill.functions.text import lookup
 from matchmill.operators.dedup import dedup_latest
 from matchmill.operators.ranking import rank_rows, top_with_ties
@@ -140,9 +140,7 @@ def path_signature(df: DataFrame, entity: str, step: str, value: str, baseline:
     # collect_list skips the NULLs of steps without a change, so an unchanged path gives an empty list.
     turns = F.array_sort(F.collect_list(F.when(F.col("_turn").isNotNull(), F.struct(F.col(step), F.col("_turn")))))
     paths = points.groupBy(entity).agg(F.array_join(F.transform(turns, lambda t: t["_turn"]), "|").alias("signature"))
-    placed = ordered_scan(paths, ["signature"], [entity], row_number="position")
-    pattern = F.element_at(F.array(*[F.lit(p) for p in LINE_PATTERNS]), ((F.col("position") - 1) % len(LINE_PATTERNS) + 1).cast("int"))
-    return placed.withColumn("pattern", pattern)
+    return ordered_scan(paths, ["signature"], [entity], row_number="position")
 
 
 def current_leaders(rows: DataFrame, flag: str, step: str, order: Sequence[Column]) -> DataFrame:

@@ -103,62 +103,76 @@ def detail_text(actor: Column, minute: Column, is_penalty: Column) -> Column:
     return F.concat(actor, F.lit(" ("), minute, F.lit(")"), F.when(is_penalty, F.lit(" (PEN)")).otherwise(F.lit("")))
 
 
-def nested_rollup(
-    parents: DataFrame, events: DataFrame, key: str, side: str, text: Column, order: Sequence[str], bucket: Column | None = None,
-    page_size: int = 10_000,
-) -> DataFrame:
-    """Parents with their events as a sorted list per side: columns ``home_items``, ``away_items``, ``page``.
+SIDES = {"home_items": True, "away_items": False}
+
+
+def _sorted_lists(side: str, item: Column) -> list[Column]:
+    lists = {n: F.array_sort(F.collect_list(F.when(F.col(side) == is_home, item))) for n, is_home in SIDES.items()}
+    return [F.transform(column, lambda x: x["_text"]).alias(n) for n, column in lists.items()]
+
 
-    A list cell cannot grow without end, so a parent with more than ``page_size`` events on a side goes on
-    in further rows (``page`` 1, 2, ...); nothing is left out and no task gathers more than one page. All
-    other parents have just page 0. A side without events holds ``["NA"]`` on page 0.
+def nested_rollup(parents: DataFrame, events: DataFrame, key: str, side: str, text: Column, order: Sequence[str]) -> DataFrame:
+    """One row per parent with its events as a sorted list per side: columns ``home_items`` and ``away_items``.
 
-    Give ``bucket`` (rising with ``order``) unless the events of a side are bounded, as those parsed from
-    one packed text are: any other event table may have a parent with most of its rows.
+    A side without events holds ``["NA"]``. Meant for events of bounded number per parent, as those parsed from one packed
+    text; ``paged_rollup`` takes any number.
     """
-    names = {"home_items": True, "away_items": False}
-
-    def sorted_lists(item: Column) -> list[Column]:
-        lists = {n: F.array_sort(F.collect_list(F.when(F.col(side) == is_home, item))) for n, is_home in names.items()}
-        return [F.transform(column, lambda x: x["_text"]).alias(n) for n, column in lists.items()]
-
-    if bucket is None:
-        # Bounded lists: gather them in one shuffle, then cut them into pages inside the row.
-        whole = events.select(key, side, *order, text.alias("_text")).groupBy(key).agg(*sorted_lists(F.struct(*order, "_text")))
-        last = F.floor((F.greatest(*[F.size(n) for n in names]) - 1) / page_size).cast("long")
-        pages = whole.withColumn("page", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-        start = (F.col("page") * page_size + 1).cast("int")
-        lists = pages.withColumns({n: F.slice(n, start, F.lit(page_size)) for n in names})
-    else:
-        rows = stage(events.select(key, side, *order, text.alias("_text"), bucket.alias("_bucket")), "rollup")
-        numbered = ordered_scan(rows, [key, side], order, row_number="_seq", bucket=F.col("_bucket"))
-        paged = numbered.withColumn("page", F.floor((F.col("_seq") - 1) / page_size).cast("long"))
-        lists = paged.groupBy(key, "page").agg(*sorted_lists(F.struct("_seq", "_text")))
+    lists = events.select(key, side, *order, text.alias("_text")).groupBy(key).agg(*_sorted_lists(side, F.struct(*order, "_text")))
+    out = parents.join(lists, key, "left")
+    return out.withColumns({n: F.when(F.coalesce(F.size(n), F.lit(0)) <= 0, F.array(F.lit("NA"))).otherwise(F.col(n)) for n in SIDES})
+
+
+def paged_rollup(
+    parents: DataFrame, events: DataFrame, key: str, side: str, text: Column, order: Sequence[str], bucket: Column, page_size: int = 10_000
+) -> DataFrame:
+    """As ``nested_rollup`` for parents with any number of events: they go on in further rows, numbered by ``page``.
+
+    No task gathers more than one page of ``page_size`` events; ``bucket`` rises with ``order`` and cuts a parent's events into
+    parts. Every parent has page 0.
+    """
+    rows = stage(events.select(key, side, *order, text.alias("_text"), bucket.alias("_bucket")), "rollup")
+    numbered = ordered_scan(rows, [key, side], order, row_number="_seq", bucket=F.col("_bucket"))
+    paged = numbered.withColumn("page", F.floor((F.col("_seq") - 1) / page_size).cast("long"))
+    lists = paged.groupBy(key, "page").agg(*_sorted_lists(side, F.struct("_seq", "_text")))
     out = parents.join(lists, key, "left").withColumn("page", F.coalesce("page", F.lit(0).cast("long")))
     filler = {}
-    for name in names:
+    for name in SIDES:
         empty = F.coalesce(F.size(name), F.lit(0)) <= 0
         filler[name] = F.when(empty & (F.col("page") == 0), F.array(F.lit("NA"))).when(empty, F.array().cast("array<string>")).otherwise(F.col(name))
     return out.withColumns(filler)
 
 
 def parse_detail_list(text: Column) -> Column:
-    """Entries of a list text, either ``['a', 'b']`` or ``[a,b]``; commas inside brackets do not split."""
-    inner = F.trim(F.regexp_replace(F.trim(text), r"^\[|\]$", ""))
-    quoted = F.regexp_extract_all(inner, F.lit(r"'([^']*)'"), F.lit(1))
-    plain = F.split(inner, r",(?![^(]*\))")
-    items = F.transform(F.when(F.size(quoted) > 0, quoted).otherwise(plain), lambda x: F.trim(x))
-    return F.filter(items, lambda x: (x != "") & (x != "NA"))
+    """Entries of a list text, either ``['a', 'b']`` or ``[a,b]``; a comma inside brackets belongs to its entry."""
+    body = F.btrim(text, F.lit(" []"))
+    pieces = F.split(body, ",")
+
+    def add(done: Column, piece: Column) -> Column:
+        # An entry goes on as long as its brackets are open.
+        last = F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(""))
+        still_open = F.length(F.translate(last, "(", "")) < F.length(F.translate(last, ")", ""))
+        longer = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.concat_ws(",", last, piece)))
+        return F.when(still_open, longer).otherwise(F.concat(done, F.array(piece)))
+
+    entries = F.aggregate(pieces, F.array().cast("array<string>"), add)
+    return F.filter(F.transform(entries, lambda e: F.btrim(e, F.lit(" '"))), lambda e: ~e.isin("", "NA"))
 
 
 def parse_detail(entry: Column) -> dict[str, Column]:
-    """Name, minute and penalty mark of ``Name (90+2) (PEN)``; other texts are a name alone."""
-    shape = r"(?i)^(.*?)\s*\(([^)]+)\)\s*(\(pen\))?\s*$"
-    fits = entry.rlike(shape)
-    inside = F.regexp_extract(entry, shape, 2)
-    penalty = inside.rlike("(?i)pen") | (F.regexp_extract(entry, shape, 3) != "")
+    """Name, minute and penalty mark of ``Name (90+2) (PEN)`` or ``Name (90+2, PEN)``; other texts are a name alone.
+
+    The entry is peeled from its end: first a mark of its own, then the last bracket, whose words are the minute but for those
+    that are the mark.
+    """
+    mark = "(PEN)"
+    ends_marked = F.endswith(F.upper(entry), F.lit(mark))
+    rest = F.when(ends_marked, F.rtrim(F.left(entry, F.length(entry) - len(mark)))).otherwise(F.rtrim(entry))
+    bracket = F.when(F.endswith(rest, F.lit(")")), F.substring_index(rest, "(", -1))
+    has_bracket = F.coalesce(F.length(bracket) < F.length(rest), F.lit(False))
+    note = F.filter(F.split(F.translate(F.rtrim(F.translate(bracket, ")", " ")), ",", " "), " +"), lambda w: w != "")
+    is_mark = lambda w: F.startswith(F.lower(w), F.lit("pen"))
     return {
-        "name": F.when(fits, F.trim(F.regexp_extract(entry, shape, 1))).otherwise(entry),
-        "minute": F.when(fits, F.trim(F.regexp_replace(inside, r"(?i),?\s*pen\.?", ""))),
-        "is_penalty": F.when(fits, penalty).otherwise(F.lit(False)),
+        "name": F.when(has_bracket, F.rtrim(F.left(rest, F.length(rest) - F.length(bracket) - 1))).otherwise(rest),
+        "minute": F.when(has_bracket, F.array_join(F.filter(note, lambda w: ~is_mark(w)), " ")),
+        "is_penalty": ends_marked | F.when(has_bracket, F.exists(note, is_mark)).otherwise(F.lit(False)),
     }

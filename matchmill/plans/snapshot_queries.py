@@ -201,8 +201,7 @@ def _(spark, sf):
 @query("path_signature", f"""WITH {DAILY_SQL}, turns AS (
     SELECT user_id, step, goals, lag(goals, 1, 0) OVER (PARTITION BY user_id ORDER BY step) AS before FROM filled),
   paths AS (SELECT user_id, coalesce(string_agg(step || ':' || least(goals, 1), '|' ORDER BY step) FILTER (goals > 0 AND before = 0), '') AS signature FROM turns GROUP BY user_id)
-  SELECT user_id, signature, row_number() OVER (PARTITION BY signature ORDER BY user_id) AS position,
-    CASE (row_number() OVER (PARTITION BY signature ORDER BY user_id) - 1) % 4 WHEN 0 THEN '' WHEN 1 THEN '6 4' WHEN 2 THEN '2 4 6 4' ELSE '1 4' END AS pattern FROM paths""")
+  SELECT user_id, signature, row_number() OVER (PARTITION BY signature ORDER BY user_id) AS position FROM paths""")
 def _(spark, sf):
     dense = forward_fill(_daily(spark, sf), "user_id", "day", ["goals"])
     return path_signature(dense.withColumn("scored", F.least("goals", F.lit(1))), "user_id", "step", "scored")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from matchmill.fixed_values import NAME_ALIASES
 from matchmill.functions.outcomes import is_shootout, two_party_outcome
 from matchmill.operators.events import (
-    detail_text, event_order, nested_rollup, packed_items, parse_detail, parse_detail_list, parse_packed_events, top_actors, with_event_order,
+    detail_text, event_order, nested_rollup, packed_items, paged_rollup, parse_detail, parse_detail_list, parse_packed_events, top_actors, with_event_order,
 )
 from matchmill.operators.sides import participant_history, participant_totals, unpivot_sides
 from matchmill.plans.marts import event_detail, participant_profile, qualification, unify_fixtures
@@ -47,25 +47,27 @@ def test_top_actor_orders_minutes_as_numbers(spark):
 def rollup(spark, df, bucketed=False, **kw):
     ev = with_event_order(parse_packed_events(df))
     text = detail_text(F.col("actor"), F.col("minute"), F.col("is_penalty"))
-    bucket = F.col("minute_base") if bucketed else None
-    return nested_rollup(df.select("match_id"), ev, "match_id", "is_home", text, event_order(), bucket, **kw)
+    if bucketed:
+        return paged_rollup(df.select("match_id"), ev, "match_id", "is_home", text, event_order(), F.col("minute_base"), **kw)
+    return nested_rollup(df.select("match_id"), ev, "match_id", "is_home", text, event_order(), **kw)
 
 
 @pytest.mark.parametrize("bucketed", [True, False])
 def test_nested_rollup_order_and_filler(spark, bucketed):
     df = events(spark, ("""{"B 85'","A 9'(p)","C 90+1'"}""", None), ("null", "null"))
-    got = {r.match_id: (r.home_items, r.away_items, r.page) for r in rollup(spark, df, bucketed).collect()}
-    assert got == {0: (["A (9) (PEN)", "B (85)", "C (90+1)"], ["NA"], 0), 1: (["NA"], ["NA"], 0)}
+    got = {r.match_id: (r.home_items, r.away_items) for r in rollup(spark, df, bucketed).collect()}
+    assert got == {0: (["A (9) (PEN)", "B (85)", "C (90+1)"], ["NA"]), 1: (["NA"], ["NA"])}
 
 
-@pytest.mark.parametrize("bucketed", [True, False])
-def test_nested_rollup_pages_keep_everything(spark, bucketed):
+def test_paged_rollup_keeps_everything(spark):
     names = ",".join(f'"P{chr(97 + i % 26)} {i}\'"' for i in range(1, 90))
     df = events(spark, ("{" + names + "}", """{"X 3'"}"""))
-    got = sorted(rollup(spark, df, bucketed, page_size=10).collect(), key=lambda r: r.page)
+    got = sorted(rollup(spark, df, True, page_size=10).collect(), key=lambda r: r.page)
     assert [r.page for r in got] == list(range(9))
     assert sum(len(r.home_items) for r in got) == 89 and max(len(r.home_items) for r in got) == 10
     assert [r.away_items for r in got] == [["X (3)"]] + [[]] * 8
+    whole = rollup(spark, df).collect()
+    assert len(whole) == 1 and len(whole[0].home_items) == 89
 
 
 def test_parse_details(spark):

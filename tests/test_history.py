@@ -110,3 +110,28 @@ def test_overwrite_may_read_its_own_target_and_change_schema(spark, tmp_path):
 def test_json_keeps_null_fields(spark, tmp_path):
     write_json(spark.sql("SELECT 1 AS a, CAST(NULL AS STRING) AS b"), str(tmp_path / "j"))
     assert spark.read.text(str(tmp_path / "j")).first()[0] == '{"a":1,"b":null}'
+
+
+def test_stream_keeps_every_snapshot_of_a_batch(spark, tmp_path):
+    """Three snapshots in one micro-batch give the versions of three batches, and rows of one time count once."""
+    landing, path = str(tmp_path / "landing"), str(tmp_path / "table")
+    expected, loads = None, [snap(spark, n, ("a", n, 1), ("b", 1 if n < 3 else 5, 1)) for n in (1, 2, 3)]
+    for load in loads:
+        load.coalesce(1).write.mode("append").parquet(landing)
+        load.coalesce(1).write.mode("append").parquet(landing)
+        expected = scd2_apply(expected, load, **RULE)
+    stream = spark.readStream.schema(loads[0].schema).parquet(landing)
+    stream_history(stream, path, str(tmp_path / "cp"), RULE["keys"], RULE["track"], RULE["monotone"], "valid_from", False).awaitTermination(180)
+    assert state(read_history(spark, path)) == state(expected)
+
+
+def test_a_new_checkpoint_loses_nothing(spark, tmp_path):
+    path, expected = str(tmp_path / "table"), None
+    for n in (1, 2, 3):
+        load, landing = snap(spark, n, ("a", n, 1)), str(tmp_path / f"landing-{n}")
+        load.coalesce(1).write.parquet(landing)
+        stream = spark.readStream.schema(load.schema).parquet(landing)
+        run = stream_history(stream, path, str(tmp_path / f"cp-{n}"), RULE["keys"], RULE["track"], RULE["monotone"], "valid_from", n > 1)
+        run.awaitTermination(180)
+        expected = scd2_apply(expected, load, **RULE)
+    assert state(read_history(spark, path)) == state(expected)

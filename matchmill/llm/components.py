@@ -27,8 +27,9 @@ def components(links: DataFrame) -> DataFrame:
             )
         before = tuple(found)
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # Minima are tables of their own, so that Spark can split a node with many neighbours over tasks.
+        least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = stage(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stage(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stage(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")

@@ -14,10 +14,15 @@ from pyspark.sql import functions as F
 
 from matchmill.operators.scan import null_safe_keys
 
-# A key is hot when it holds more than 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE of them.
+# A key is hot when it holds more than a quarter of an even share of a shuffle partition, or a thousandth of all rows.
 HOT_SHARE = 1000
 
 
+def hot_share(spark: SparkSession) -> int:
+    """A key is hot above 1/share of all rows, so there are fewer hot keys than that."""
+    return max(HOT_SHARE, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def literal_table(spark: SparkSession, columns: Sequence[str], rows: Sequence[tuple]) -> DataFrame:
     """A table of fixed values written in the code; its size is bounded by that, so it may be broadcast."""
     cells = [F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, row)]) for row in rows]
@@ -51,15 +56,14 @@ def role_join(
 def counted_join(fact: DataFrame, table: DataFrame, on: Sequence[str], count: str, take: Sequence[str]) -> DataFrame:
     """Left-join ``table`` (one row per key, with the number of fact rows in ``count``), safe for hot keys.
 
-    Keys with more than 1/1000 of the rows are answered from a broadcast of fewer than 1000 rows; their
-    fact rows then get a spread-out join key instead of all meeting in one task. NULL keys match NULL.
+    Hot keys (``hot_share``) are answered from a broadcast of fewer rows than that share; their fact rows then get a spread-out join key instead of all meeting in one task. NULL keys match NULL.
     """
     columns = fact.columns
     fact, keys = null_safe_keys(fact, on, "_f")
     table, table_keys = null_safe_keys(table, on, "_f")
     table = table.select(*table_keys, F.col(count).alias("_cnt"), F.struct(*take).alias("_row"))
     total = table.agg(F.sum("_cnt")).scalar()
-    hot = table.filter(F.col("_cnt") * HOT_SHARE > total).select(*table_keys, F.col("_row").alias("_hot"))
+    hot = table.filter(F.col("_cnt") * hot_share(fact.sparkSession) > total).select(*table_keys, F.col("_row").alias("_hot"))
     fact = fact.join(F.broadcast(hot), keys, "left")
     fact = fact.withColumn(
         "_spread", F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(F.spark_partition_id() + 1)

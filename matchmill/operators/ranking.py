@@ -81,13 +81,25 @@ def top_with_ties(
 
 
 def percent_ranks(df: DataFrame, measures: dict[str, str], scale: float = 100.0) -> DataFrame:
-    """Add ``percent_rank * scale`` (new column -> measure) over all rows, NULLs first as in SQL.
+    """Add ``percent_rank * scale`` (new column -> measure) over all rows, NULLs first as in SQL."""
+    ranked = percent_rank_table(df, list(measures.values()), scale)
+    for name, measure in measures.items():
+        table = ranked.filter(F.col("metric") == measure).select(
+            F.col("value").alias("_value"), "_n", F.col("_pct").alias(name)
+        )
+        fact = df.withColumn("_value", F.col(measure).cast("double"))
+        df = counted_join(fact, table, ["_value"], "_n", [name]).drop("_value")
+    return df
+
+
+def percent_rank_table(df: DataFrame, measures: Sequence[str], scale: float = 100.0) -> DataFrame:
+    """(metric, value, _n, _pct): how many rows have each value of a measure, and its percent rank times ``scale``.
 
     All measures are melted into (metric, value) counts, so one ordered scan serves them all.
     """
     melted = df.select(
         F.explode(
-            F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in measures.values()])
+            F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in measures])
         ).alias("s")
     )
     counts = melted.groupBy("s.metric", "s.value").agg(F.count(F.lit(1)).alias("_n"))
@@ -97,14 +109,7 @@ def percent_ranks(df: DataFrame, measures: dict[str, str], scale: float = 100.0)
     total = df.agg(F.count(F.lit(1))).scalar()
     position = (F.col("_upto") - F.col("_n")).cast("double")
     ranked = ranked.withColumn("_pct", F.when(total > 1, position / (total - 1) * scale).otherwise(F.lit(0.0)))
-    ranked = stage(ranked.select("metric", "value", "_n", "_pct"), "percent-ranks")
-    for name, measure in measures.items():
-        table = ranked.filter(F.col("metric") == measure).select(
-            F.col("value").alias("_value"), "_n", F.col("_pct").alias(name)
-        )
-        fact = df.withColumn("_value", F.col(measure).cast("double"))
-        df = counted_join(fact, table, ["_value"], "_n", [name]).drop("_value")
-    return df
+    return stage(ranked.select("metric", "value", "_n", "_pct"), "percent-ranks")
 
 
 def gap_to_leader(df: DataFrame, measure: str, name: str = "behind_leader", group: Sequence[str] = ()) -> DataFrame:

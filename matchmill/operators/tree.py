@@ -81,7 +81,7 @@ def build_tree(
 
 
 def ordered_feeders(nodes: DataFrame, half: str | None = None) -> DataFrame:
-    """Per target position its first two feeders, in a fixed order, as (parent, first, second, feeders, all_ready).
+    """Per target position its first two feeders, in a fixed order, as (parent, first, second).
 
     Top comes before Bottom where a half is given, then the position's number, then its text. Only two
     places exist per target, so at most two rows per target leave a task.
@@ -93,13 +93,17 @@ def ordered_feeders(nodes: DataFrame, half: str | None = None) -> DataFrame:
         F.col("feeds_into").alias("parent"), "position", "is_finished", *([half] if half else []),
         F.when(ready, F.col("winner")).alias("winner"), F.coalesce(ready, F.lit(False)).alias("ready"),
     )
-    counts = children.groupBy("parent").agg(F.count(F.lit(1)).alias("feeders"), F.bool_and("ready").alias("all_ready"))
     slots = top_rows(children, ["parent"], order, 2, "slot")
     child = F.struct("position", "winner", "ready")
-    pair = slots.groupBy("parent").agg(
+    return slots.groupBy("parent").agg(
         F.max(F.when(F.col("slot") == 1, child)).alias("first"), F.max(F.when(F.col("slot") == 2, child)).alias("second")
     )
-    return pair.join(counts, "parent")
+
+
+def surplus_feeders(nodes: DataFrame) -> DataFrame:
+    """(parent, feeders) of targets with more than two feeders: a check, as only two have a place."""
+    fed = nodes.filter(F.col("feeds_into").isNotNull()).groupBy(F.col("feeds_into").alias("parent"))
+    return fed.agg(F.count(F.lit(1)).alias("feeders")).filter("feeders > 2")
 
 
 def resolve_tree(nodes: DataFrame) -> DataFrame:
@@ -114,7 +118,7 @@ def resolve_tree(nodes: DataFrame) -> DataFrame:
         waiting = F.when(F.col(slot).isNotNull(), F.concat(F.lit("Winner of "), F.col(f"{slot}.position")))
         shown[f"{side}_derived"] = F.coalesce(F.col(f"{side}_team"), F.col(f"{slot}.winner"))
         shown[f"{side}_display"] = F.coalesce(F.col(f"{side}_team"), F.col(f"{slot}.winner"), waiting, F.lit("TBD"))
-    return joined.withColumns(shown).drop("first", "second", "feeders", "all_ready")
+    return joined.withColumns(shown).drop("first", "second")
 
 
 def resolve_tree_sorted(nodes: DataFrame, half: str = "side") -> DataFrame:
@@ -138,7 +142,7 @@ def resolve_tree_sorted(nodes: DataFrame, half: str = "side") -> DataFrame:
         )
         is_open = F.when(settled | winner.isNotNull(), False).when(waiting, True).when(usable, placeholder).otherwise(True)
         joined = joined.withColumns({f"{side}_name": name, f"{side}_open": is_open})
-    return joined.drop("first", "second", "feeders", "all_ready")
+    return joined.drop("first", "second")
 
 
 def podium(nodes: DataFrame, final: Column, third: Column) -> DataFrame:

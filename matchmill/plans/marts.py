@@ -15,7 +15,7 @@ from matchmill.fixed_values import STAGES
 from matchmill.operators.dedup import top_rows
 from matchmill.operators.events import event_icon, event_sequences, top_actors
 from matchmill.operators.joins import lookup_join
-from matchmill.operators.ranking import gap_to_leader, percent_ranks
+from matchmill.operators.ranking import gap_to_leader, percent_rank_table
 from matchmill.operators.shape import stage_ordinal, unified_facts
 from matchmill.operators.sides import latest_state, participant_totals, round_half_up, unpivot_sides
 from matchmill.operators.tree import half_by_suffix, resolve_tree
@@ -57,10 +57,16 @@ def leaderboard(
     """
     lead = order[0][0]
     current = stage(current, "leaderboard")  # read by each of the ranks
-    scored = percent_ranks(gap_to_leader(current, lead), {f"{m}_percentile": m for m in measures})
-    scored = scored.withColumns({f"{m}_percentile": F.floor(F.col(f"{m}_percentile") + 0.5).cast("double") for m in measures})
     sort = [F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last() for c, d in order]
-    best = scored.orderBy(*sort, F.col(entity).asc()).limit(k)
+    best = stage(gap_to_leader(current, lead).orderBy(*sort, F.col(entity).asc()).limit(k), "best")
+    # Only the values of k rows are looked up among the percent ranks.
+    ranks = percent_rank_table(current, measures)
+    columns = best.columns
+    for m in measures:
+        percentile = F.floor(F.col("_pct") + 0.5).cast("double").alias(f"{m}_percentile")
+        table = ranks.filter(F.col("metric") == m).select(F.col("value").alias("_value"), percentile)
+        best = table.join(F.broadcast(best), F.col("_value").eqNullSafe(F.col(m).cast("double"))).drop("_value")
+    best = best.select(*columns, *[f"{m}_percentile" for m in measures])
     # k rows in one task.
     best = best.withColumns(
         {

@@ -178,3 +178,9 @@ def _(spark, sf):
 @query("layout_cluster", "SELECT * FROM lineitem")
 def _(spark, sf):
     return cluster_layout(load(spark, sf, "lineitem"), ["l_shipdate", "l_partkey", "l_returnflag"])
+
+
+@query("layout_cluster_text", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def _(spark, sf):
+    """Clustered by names that share a prefix."""
+    return cluster_layout(load(spark, sf, "customer", "c_custkey", "c_name", "c_acctbal"), ["c_name", "c_acctbal"])

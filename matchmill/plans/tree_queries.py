@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from matchmill.functions.text import suffix_number
 from matchmill.operators.joins import lookup_join
-from matchmill.operators.tree import build_tree, half_by_suffix, open_items_or_podium, podium, resolve_tree, resolve_tree_sorted
+from matchmill.operators.tree import surplus_feeders, build_tree, half_by_suffix, open_items_or_podium, podium, resolve_tree, resolve_tree_sorted
 from matchmill.plans.registry import query
 from matchmill.plans.views import TREE_SQL, VENUES_SQL, load, tree_nodes, venue_zones
 
@@ -87,20 +87,20 @@ def _(spark, sf):
     return decided.orderBy(suffix_number(F.col("position"))).select("position", "winner", "feeds_into")
 
 
-@query("tree_build", """WITH m AS (SELECT o_orderkey AS k, CAST(floor(log2(greatest(o_orderkey, 1))) AS INTEGER) AS level, (SELECT max(o_orderkey) FROM orders) AS last FROM orders WHERE o_orderkey > 0),
+@query("tree_build", """WITH m AS (SELECT o_orderkey AS k, CAST(floor(log2(greatest(o_orderkey, 1))) AS INTEGER) AS level, (SELECT max(o_orderkey) FROM orders) AS last FROM orders),
   placed AS (SELECT *, CAST(pow(2, level) AS BIGINT) AS first FROM m),
   named AS (SELECT *, CASE WHEN level % 2 = 1 AND k * 2 + 1 <= last THEN 'P' || level || '-' || (k - first + 1) ELSE 'L' || level || '-' || (k - first + 1) END AS position FROM placed)
   SELECT CAST(n.k AS VARCHAR) AS match_id, n.position, CASE WHEN n.level = 0 THEN 'Neutral' WHEN n.k - n.first + 1 <= n.first // 2 THEN 'Top' ELSE 'Bottom' END AS side,
-    CASE WHEN n.k % 100 = 7 THEN 'moved' ELSE p.position END AS feeds_into FROM named n LEFT JOIN named p ON p.k = n.k // 2""")
+    CASE WHEN n.k % 100 = 7 THEN 'moved' ELSE p.position END AS feeds_into FROM named n LEFT JOIN named p ON p.k = n.k // 2 AND n.k > 1""")
 def _(spark, sf):
-    """A bracket from labels: level by level, odd levels placed by their feeder pair, some pointers overridden."""
-    orders = load(spark, sf, "orders", "o_orderkey").filter("o_orderkey > 0")
+    """A bracket from labels: level by level, odd levels placed by their feeder pair, some pointers overridden; order 0 is a node of its own."""
+    orders = load(spark, sf, "orders", "o_orderkey")
     last = orders.agg(F.max("o_orderkey")).scalar()
     key = F.col("o_orderkey")
-    level = F.floor(F.log2(key.cast("double"))).cast("int")
+    level = F.floor(F.log2(F.greatest(key, F.lit(1)).cast("double"))).cast("int")
 
     def label(child):
-        return F.when(child <= last, F.concat(F.lit("Winner Match "), child.cast("string")))
+        return F.when((key > 0) & (child <= last), F.concat(F.lit("Winner Match "), child.cast("string")))
 
     matches = orders.select(
         key.cast("string").alias("match_id"), level.cast("string").alias("round_code"),
@@ -117,3 +117,11 @@ def _(spark, sf):
     )
     moved = orders.filter(key % 100 == 7).select(key.cast("string").alias("match_id"), F.lit("moved").alias("feeds_into"))
     return build_tree(matches, by_level, pairs=pairs, overrides=moved).select("match_id", "position", "side", "feeds_into")
+
+
+@query("tree_surplus_feeders", f"WITH {TREE_SQL} SELECT 'P' || (k % 7) AS parent, count(*) AS feeders FROM nodes WHERE k % 3 = 1 GROUP BY ALL HAVING count(*) > 2")
+def _(spark, sf):
+    """Targets that more than two nodes feed, in a tree bent so that there are some."""
+    k = F.col("match_id").cast("long")
+    bent = tree_nodes(spark, sf).withColumn("feeds_into", F.when(k % 3 == 1, F.concat(F.lit("P"), (k % 7).cast("string"))))
+    return surplus_feeders(bent)

@@ -87,7 +87,7 @@ def schedule_fact(
     """One row per fixture: UTC time, status, time until or since, display names, half, top actor of each side."""
     rows = lookup_join(
         fixtures, venues, {"venue_id": "venue_id"},
-        {"city": "city", "country": "country", "hours_west": "hours_west"}, how="inner",
+        {"city": "city", "country": "country", "hours_west": "hours_west"}, how="left",
     )
     rows = rows.withColumn("starts_utc", to_utc(parse_local(F.col("local_text")), F.col("hours_west")))
     start, finished = F.col("starts_utc"), F.col("is_finished")
@@ -185,7 +185,7 @@ def event_detail(events: DataFrame, fixtures: DataFrame | None, venues: DataFram
     Events parsed from finished fixtures with ``keep=FIXTURE_FACTS`` carry all they need: pass no fixtures.
     """
     rows = events if fixtures is None else events.join(fixtures.filter("is_finished").select("match_id", *FIXTURE_FACTS), "match_id")
-    rows = lookup_join(rows, venues, {"venue_id": "venue_id"}, {"city": "city", "country": "country"}, how="inner")
+    rows = lookup_join(rows, venues, {"venue_id": "venue_id"}, {"city": "city", "country": "country"}, how="left")
     home = F.col("is_home")
     mine = F.when(home, F.col("home_score")).otherwise(F.col("away_score"))
     theirs = F.when(home, F.col("away_score")).otherwise(F.col("home_score"))

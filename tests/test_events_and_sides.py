@@ -175,3 +175,5 @@ def test_event_detail_result_is_from_the_side_not_the_id(spark):
         (2, "P", "Loss", "a", 1, "⚽"), (2, "R", "Loss", "a", 2, "⚽ (PEN)"), (2, "Q", "Loss", "a", 3, "⚽"),
     ]
     assert [r.number_overall for r in got if r.team == "b"] == [1, 2, 3]
+    away = event_detail(parse_packed_events(df), df, venues.filter("false")).collect()
+    assert len(away) == len(got) and all(r.city is None for r in away)  # an unknown venue hides no event

@@ -93,7 +93,7 @@ def minimise(loss, x: np.ndarray, rounds: int, memory: int = 8) -> np.ndarray:
     return x
 
 
-def train(docs: DataFrame, labels: DataFrame, allowed: Column, label: str = "toxic", per_class: int = 1500, text: str = "text") -> LinearModel:
+def train(docs: DataFrame, labels: DataFrame, allowed: Column, label: str = "toxic", per_class: int = 1000, text: str = "text") -> LinearModel:
     """A model from about ``per_class`` labelled texts of each class, of those that ``allowed`` lets in.
 
     Without rows of both classes the model gives every text the same score.

@@ -39,7 +39,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # a local cluster has executors of its own
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
     path = tempfile.mkdtemp(prefix="matchmill-")
     spark.conf.set(CHECKPOINT_DIR, path)

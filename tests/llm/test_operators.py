@@ -219,6 +219,19 @@ def test_passages(spark):
     assert passages.remove_repeated(frame.limit(0)).count() == 0
 
 
+def test_passages_after_a_difference_at_one_distance(spark):
+    """Words of two documents at one distance of places are found again after any difference."""
+    rng = random.Random(16)
+    word = lambda: "".join(rng.choices("abcdefgh", k=4))
+    whole = [word() for _ in range(600)]
+    other = list(whole)
+    other[40:45] = [f"z{k}" for k in range(5)]
+    other[300:340] = [f"y{k}" for k in range(40)]
+    frame = spark.createDataFrame([(1, " ".join(whole)), (2, " ".join(other))], "doc_id long, text string")
+    cut = {r["doc_id"]: r["text"].split() for r in passages.remove_repeated(frame).collect()}
+    assert cut[1] == whole and set(cut[2]) <= {*other[:45], *other[300:340]} and set(cut[2]) >= {*other[300:340]}
+
+
 def test_passages_of_documents_against_all_windows(spark):
     """After removal hardly a run of fifty words is left that two documents share."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")

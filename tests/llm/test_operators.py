@@ -232,6 +232,25 @@ def test_passages_after_a_difference_at_one_distance(spark):
     assert cut[1] == whole and set(cut[2]) <= {*other[:45], *other[300:340]} and set(cut[2]) >= {*other[300:340]}
 
 
+def test_near_passages_with_words_put_in_left_out_and_replaced(spark):
+    rng = random.Random(26)
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+    prose = lambda n: [word() for _ in range(n)]
+    short, brief, long, many = prose(60), prose(60), prose(100), prose(200)
+    near = {
+        1: (short, short[:30] + ["zz"] + short[30:]), 2: (brief, brief[:29] + brief[30:]),
+        3: (long, long[:48] + prose(5) + long[53:]), 4: (many, many[:45] + ["zz"] + many[45:90] + many[92:140] + ["yy", "xx"] + many[141:]),
+    }
+    frame, ends = [], {}
+    for k, (one, two) in near.items():
+        lead = rng.randrange(40)
+        frame += [(k, " ".join(prose(33) + one + prose(20))), (k + 10, " ".join(prose(lead) + two + prose(25)))]
+        ends[k] = (33, len(one), k, True)
+        ends[k + 10] = (lead, len(two), k, False)
+    got = passages.repeated_passages(spark.createDataFrame(frame, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in got} == ends and len(got) == len(ends)
+
+
 def test_passages_of_documents_against_all_windows(spark):
     """After removal hardly a run of fifty words is left that two documents share."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")

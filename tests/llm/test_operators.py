@@ -251,6 +251,19 @@ def test_near_passages_with_words_put_in_left_out_and_replaced(spark):
     assert {r["doc_id"]: tuple(r)[1:] for r in got} == ends and len(got) == len(ends)
 
 
+def test_first_occurrences_stay_beside_repeats(spark):
+    """A document whose repeat overlaps a first occurrence: query and removal say the same of every word."""
+    rng = random.Random(46)
+    prose = lambda n: ["".join(rng.choices("abcdefgh", k=5)) for _ in range(n)]
+    body = prose(340)
+    texts = {1: prose(30) + body[100:160] + prose(30), 2: body, 3: prose(20) + body[130:300] + prose(20)}
+    frame = spark.createDataFrame([(k, " ".join(v)) for k, v in texts.items()], "doc_id long, text string")
+    got = sorted(tuple(r) for r in passages.repeated_passages(frame).collect())
+    assert got == [(1, 30, 60, 1, True), (2, 100, 60, 1, False), (2, 160, 140, 1, True), (3, 20, 170, 1, False)]
+    cut = {r["doc_id"]: r["text"].split() for r in passages.remove_repeated(frame).collect()}
+    assert cut == {1: texts[1], 2: body[:100] + body[160:], 3: texts[3][:20] + texts[3][190:]}
+
+
 def test_passages_of_documents_against_all_windows(spark):
     """After removal hardly a run of fifty words is left that two documents share."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")

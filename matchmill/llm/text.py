@@ -41,6 +41,25 @@ def joined(text: bytes | None, table: bytes) -> bytes:
     return b" " + b" ".join(found) + b" " if found else b""
 
 
+#: Very long texts are handled in pieces of about so many bytes, so that memory follows the piece and not the text.
+PIECE = 1 << 20
+
+
+def pieces(text: bytes | None, table: bytes, size: int = PIECE) -> Iterator[bytes]:
+    """A text in consecutive pieces that end between words; a word is never cut, so a piece may be longer than ``size``."""
+    at, n = 0, len(text or b"")
+    while at < n:
+        end = min(n, at + size)
+        while end < n:
+            # The next separator, looked for in steps.
+            gap = text[end : end + size].translate(table).find(b" ")
+            end = end + gap if gap >= 0 else min(n, end + size)
+            if gap >= 0:
+                break
+        yield text[at:end]
+        at = end
+
+
 _RANDOM = np.random.default_rng(20240229)
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15 | 3)
@@ -162,3 +181,30 @@ def flat_map(df: DataFrame, make: Callable[[], Callable[[list], dict]], schema:
             yield pa.RecordBatch.from_arrays([pa.array(made[n], t) for n, t in types], names=[n for n, _ in types])
 
     return df.mapInArrow(run, fields)
+
+
+def fold_tasks(df: DataFrame, make: Callable[[], tuple], schema: str) -> DataFrame:
+    """New rows from what a task gathers: ``make`` gives, once per task, two functions, ``add`` and ``rest``.
+
+    ``add`` takes a list per column of a batch and gives rows (a list or array per new column) or None; ``rest`` gives those left
+    at the end of the task.
+    """
+    bounded_batches(df)
+    fields = _parse_datatype_string(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        types = [(f.name, to_arrow_type(f.dataType)) for f in fields.fields]
+
+        def shaped(made: dict) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(made[n], t) for n, t in types], names=[n for n, _ in types])
+
+        add, rest = make()
+        for batch in batches:
+            made = add(*[column.to_pylist() for column in batch.columns])
+            if made is not None:
+                yield shaped(made)
+        yield shaped(rest())
+
+    return df.mapInArrow(run, fields)

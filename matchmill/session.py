@@ -62,4 +62,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{app_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    copy = spark.read.schema(df.schema).parquet(path)
+    copy._staged_at = path
+    return copy
+
+
+def drop_stage(copy: DataFrame) -> None:
+    """Remove what ``stage`` returned, once nothing will read it again: tables made from it must have been written already."""
+    spark = copy.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(copy._staged_at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

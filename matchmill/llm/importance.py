@@ -88,15 +88,17 @@ class Payloads:
             return
         # No word holds a control character, so that these names are no words.
         names = {w: b"\x01%d" % k for k, w in enumerate(distinct) if len(w) > LONG}
+        # An automaton keeps whole numbers of 32 bits only, so that a word keeps the place of its payload.
+        payloads = np.array([zlib.crc32(w) | len(w) << 32 for w in distinct], np.int64)
         dictionary = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for w in distinct:
-            dictionary.add_word((b" " + names.get(w, w) + b" ").decode("latin-1"), zlib.crc32(w) | len(w) << 32)
+        for k, w in enumerate(distinct):
+            dictionary.add_word((b" " + names.get(w, w) + b" ").decode("latin-1"), k)
         dictionary.make_automaton()
         for k, own in group:
             if own:
                 flat = b" ".join(map(names.get, own, own) if names else own)
                 scan = dictionary.iter((b" " + flat + b" ").decode("latin-1"))
-                found[k].append(np.fromiter((payload for _, payload in scan), np.int64, len(own)))
+                found[k].append(payloads[np.fromiter((at for _, at in scan), np.int64, len(own))])
 
 
 def feature_buckets(crc: np.ndarray, sizes: np.ndarray, longest: int = LONGEST, buckets: int = BUCKETS) -> np.ndarray:

@@ -148,3 +148,61 @@ def current_leaders(rows: DataFrame, flag: str, step: str, order: Sequence[Colum
     any_flag = F.coalesce(rows.agg(F.bool_or(flag)).scalar(), F.lit(False))
     last = rows.agg(F.max(step)).scalar()
     return rows.filter(F.when(any_flag, F.col(flag)).otherwise(F.col(step) == last)).orderBy(*order)
+
+
+def _runs(states: DataFrame, entity: str, values: Sequence[str], part: int = 1024) -> DataFrame:
+    """(entity, from_step, to_step, values) of (entity, step, values) rows: a run up to the step before the next change of a value.
+
+    ``to_step`` is NULL where the state still holds. Both passes cut an entity's rows into parts of ``part`` steps.
+    """
+    bucket = F.floor(F.col("step") / part)
+    own = F.struct(*values)
+    seen = ordered_scan(stage(states.withColumn("_now", own), "states"), [entity], ["step"], previous={"_was": "_now"}, bucket=bucket)
+    turns = stage(seen.filter(~F.col("_now").eqNullSafe(F.col("_was"))).drop("_now", "_was"), "turns")
+    runs = ordered_scan(turns, [entity], ["step"], following={"_next": "step"}, bucket=bucket)
+    return runs.select(entity, F.col("step").alias("from_step"), (F.col("_next") - 1).alias("to_step"), *values)
+
+
+def asof_intervals(
+    checkpoints: DataFrame, snapshots: DataFrame, entity: str, cp_ts: str, snap_ts: str, values: Sequence[str],
+    tie_break: Sequence[Column] = (), fallback_hours: int = 24,
+) -> DataFrame:
+    """(entity, from_step, to_step, values): each entity's state over the axis, a row per change instead of one per step.
+
+    Boundaries of the axis and snapshots are put on one line and cut by range; the boundaries passed so far, carried from part to part,
+    tell the step of a snapshot. No step, entity or span of time is ever spelt out. ``to_step`` is the last step for a state that still
+    holds. Snapshots without a time, or after the last boundary, belong to no step; an entity has no row for the steps before its first
+    snapshot. Of snapshots in one step the last counts, ties by ``tie_break``.
+    """
+    axis = build_axis(checkpoints, cp_ts, fallback_hours)
+    shape = snapshots.filter(F.col(snap_ts).isNotNull()).select(
+        F.col(snap_ts).alias("_at"), F.lit(0).alias("_kind"), F.lit(0).cast("long").alias("_passed_one"), F.struct(entity, snap_ts, *values).alias("_snap"))
+    ends = axis.select(
+        F.col("boundary").alias("_at"), F.lit(1).alias("_kind"), F.lit(1).cast("long").alias("_passed_one"), F.lit(None).cast(shape.schema["_snap"].dataType).alias("_snap"))
+    # A snapshot at a boundary counts before it.
+    line = ordered_scan(shape.unionByName(ends), [], ["_at", "_kind"], sums={"_passed": "_passed_one"})
+    placed = line.filter("_kind = 0").select("_snap.*", (F.col("_passed") + 1).alias("step"))
+    last = axis.agg(F.max("step")).scalar()
+    placed = placed.filter(F.col("step") <= last)
+    states = dedup_latest(placed, [entity, "step"], [F.col(snap_ts).desc(), *tie_break]).select(entity, "step", *values)
+    runs = _runs(states, entity, values)
+    return runs.withColumn("to_step", F.coalesce("to_step", last))
+
+
+def fill_intervals(df: DataFrame, entity: str, axis_ts: str, values: Sequence[str], baseline: int = 0) -> DataFrame:
+    """``forward_fill`` as (entity, from_step, to_step, values) runs of equal values, ``baseline`` before an entity's first row."""
+    times = df.select(axis_ts).filter(F.col(axis_ts).isNotNull()).distinct()
+    axis = stage(ordered_scan(times, [], [axis_ts], row_number="step", bucket=hour_of(axis_ts)), "axis")
+    last = axis.agg(F.max("step")).scalar()
+    states = stage(df.select(entity, axis_ts, *values).join(axis, axis_ts).select(entity, "step", *values), "filled")
+    first = states.groupBy(entity).agg(F.min("step").alias("_first")).filter("_first > 1")
+    before = first.select(entity, F.lit(1).cast("long").alias("step"), *[F.lit(baseline).cast(states.schema[v].dataType).alias(v) for v in values])
+    runs = _runs(states.unionByName(before), entity, values)
+    return runs.withColumn("to_step", F.coalesce("to_step", last))
+
+
+def expand_runs(runs: DataFrame, entities: DataFrame, entity: str) -> DataFrame:
+    """A row per step for the entities asked for, from runs."""
+    asked = runs.join(entities.select(entity).distinct(), entity, "left_semi")
+    kept = [c for c in runs.columns if c not in ("from_step", "to_step")]
+    return asked.select(*kept, F.explode(F.sequence("from_step", "to_step")).alias("step"))

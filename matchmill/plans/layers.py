@@ -1,7 +1,7 @@
 """The three layers end to end: landed (bronze) tables to cleaned (silver) tables to marts (gold).
 
 Each table is a function of tables before it. ``run_layers`` stores every layer before the next one reads
-it, so nothing upstream is computed twice, and replaces a layer only if all its tables are big enough.
+it, so nothing upstream is computed twice, checks it, and publishes all layers together.
 
 Landed tables: players, teams, matches, group_standings, stadiums, knockout_bracket. Times come in as
 ``match_date_local`` texts; ``as_of`` is the moment the marts describe.
@@ -9,7 +9,8 @@ Landed tables: players, teams, matches, group_standings, stadiums, knockout_brac
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+import datetime as dt
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,7 @@ from matchmill.fixed_values import MINIMUM_ROWS, NAME_ALIASES, STAGES
 from matchmill.functions.outcomes import winning_side
 from matchmill.functions.text import canonical_name, is_true, lookup
 from matchmill.functions.times import parse_local, to_utc
+from matchmill.operators import quality
 from matchmill.operators.asof import race, race_leaders
 from matchmill.operators.dedup import dedup_latest, valid_keys
 from matchmill.operators.events import parse_packed_events
@@ -27,10 +29,10 @@ from matchmill.operators.ranking import rank_rows
 from matchmill.operators.scan import global_row_number
 from matchmill.operators.shape import unified_facts
 from matchmill.operators.sides import round_half_up
-from matchmill.plans import marts
+from matchmill.plans import marts, suites
 from matchmill.plans.views import venue_zones
 from matchmill.session import stage
-from matchmill.sources.sinks import load_history, read_history, save_all_or_nothing
+from matchmill.sources.publication import WARNING, CheckResult, Load, Rule
 
 PLAYER_MEASURES = ["goals_scored", "assists", "matches_played", "minutes_played"]
 STANDING_MEASURES = ["matches_played", "wins", "draws", "losses", "goals_for", "goals_against", "goal_difference", "points"]
@@ -231,27 +233,59 @@ def build_gold(silver: Mapping[str, DataFrame], as_of: Column) -> dict[str, Data
     }
 
 
-def run_layers(
-    spark: SparkSession, bronze_dir: str, out_dir: str, as_of: Column, load_id: str, minimum: Mapping[str, int] = MINIMUM_ROWS,
-    first_load: bool = False,
-) -> None:
-    """Read the landed tables, check them, and bring the silver and then the gold tables up to date.
+def silver_rules() -> dict[str, dict[str, Rule]]:
+    """Row rules of the silver tables, judged while they are written."""
+    negative = (F.col("home_score") < 0) | (F.col("away_score") < 0)
+    return {
+        "players": {"missing_key": Rule(F.col("player_id").isNull())},
+        "teams": {"missing_key": Rule(F.col("team_id").isNull()), "missing_name": Rule(F.col("team_name").isNull(), WARNING)},
+        "matches": {"missing_key": Rule(F.col("match_id").isNull()), "negative_score": Rule(negative)},
+        "goal_events": {"missing_actor": Rule(F.col("actor").isNull(), WARNING), "unknown_team": Rule(F.col("team_id").isNull(), WARNING)},
+    }
 
-    ``load_id`` names the load; running the same load again gives the same tables. Of the histories only
-    the open versions are read and rewritten.
-    """
 
-    def stored(layer: str, names: Iterable[str]) -> dict[str, DataFrame]:
-        return {name: spark.read.parquet(f"{out_dir}/{layer}/{name}") for name in names}
+def check_silver(load: Load, silver: Mapping[str, DataFrame], venues: DataFrame) -> None:
+    """Checks over whole silver tables: keys occur once, and every venue has its hours."""
+    for name, key in (("players", "player_id"), ("teams", "team_id"), ("matches", "match_id")):
+        load.check(f"silver/{name}", "duplicate_key", quality.duplicates(silver[name], [key]))
+    load.check("silver/matches", "unmapped_zone", quality.orphans(silver["matches"], venues, {"stadium_id": "venue_id"}), WARNING)
+
 
-    landed = {name: spark.read.parquet(f"{bronze_dir}/{name}") for name in MINIMUM_ROWS}
-    save_all_or_nothing({name: (df, minimum.get(name, 0)) for name, df in landed.items()}, f"{out_dir}/bronze")
-    bronze = stored("bronze", landed)
-    built = build_silver(bronze)
-    save_all_or_nothing({name: (df, 0) for name, df in built.items()}, f"{out_dir}/silver")
-    silver = stored("silver", built)
+def check_gold(load: Load, gold: Mapping[str, DataFrame]) -> None:
+    """The suites of the marts; their findings are warnings."""
+    load.check("gold/schedule", "schedule_suite", suites.schedule_suite(gold["schedule"]), WARNING)
+    load.check("gold/performance", "bracket_suite", suites.bracket_suite(gold["schedule"], gold["performance"]), WARNING)
+
+
+def run_layers(
+    spark: SparkSession, bronze_dir: str, out_dir: str, as_of: Column, load_id: str, minimum: Mapping[str, int] = MINIMUM_ROWS,
+    skipped: Sequence[str] = (), ingested_at: Column | None = None,
+) -> list[CheckResult]:
+    """Read the landed tables, check them, build the silver and the gold tables, and publish all of them at one moment.
+
+    Nothing that readers see changes before the end, and nothing at all if a check fails as an error; ``GateError`` then holds the
+    report, which is returned otherwise. ``skipped`` names landed tables whose feed did not run: the last load's rows count. Landed rows
+    without ``ingested_at`` get one moment for the whole run. ``load_id`` names the load. Of the histories only buckets with a change
+    are written. Read the tables with ``read_published``, as ``gold/schedule`` for instance.
+    """
+    load, moment = Load(spark, out_dir, load_id), F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
+    bronze = {}
+    for name in MINIMUM_ROWS:
+        if name in skipped:
+            bronze[name] = load.skip(f"bronze/{name}")
+            continue
+        rows = spark.read.parquet(f"{bronze_dir}/{name}")
+        if "ingested_at" not in rows.columns:
+            rows = rows.withColumn("ingested_at", moment if ingested_at is None else ingested_at)
+        bronze[name] = load.write(f"bronze/{name}", rows, minimum.get(name, 0))
+    load.stop_on_errors()
+    rules = silver_rules()
+    silver = {name: load.write(f"silver/{name}", df, rules=rules.get(name)) for name, df in build_silver(bronze).items()}
+    check_silver(load, silver, venue_zones(spark))
+    load.stop_on_errors()
     for name, h in HISTORIES.items():
-        path = f"{out_dir}/silver/{name}"
-        load_history(spark, path, h.snapshot(bronze[h.source]), h.keys, h.track, h.guarded, load_id, exists=not first_load)
-        silver[name] = read_history(spark, path)
-    save_all_or_nothing({name: (df, 0) for name, df in build_gold(silver, as_of).items()}, f"{out_dir}/gold")
+        silver[name] = load.history(f"silver/{name}", h.snapshot(bronze[h.source]), h.keys, h.track, h.guarded)
+    gold = {name: load.write(f"gold/{name}", df) for name, df in build_gold(silver, as_of).items()}
+    check_gold(load, gold)
+    load.publish()
+    return load.report

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchmill.operators.history import current_versions, first_load
+from matchmill.operators.history import current_versions, first_load, fold_snapshots
 from matchmill.session import stage
 from matchmill.sources.feeds import row_gate
 
@@ -69,6 +69,27 @@ def load_history(
         rows = current_versions(table, snapshot, keys, track, monotone, valid_from)
     else:
         rows = first_load(snapshot, keys, track, valid_from)
+    _write_versions(rows, path, load_id)
+
+
+def load_many(
+    spark: SparkSession, path: str, snapshots: DataFrame, keys: Sequence[str], track: Sequence[str], monotone: Sequence[str],
+    load_id: str, valid_from: str = "valid_from", exists: bool = True,
+) -> bool:
+    """Apply any number of snapshots per key to the history table at ``path`` in one load; returns whether the table exists now."""
+    rows = snapshots.select(*keys, *track, F.col(valid_from).alias("valid_from"))
+    none = F.lit(None).cast(rows.schema["valid_from"].dataType)
+    start = rows.limit(0).withColumns({"valid_to": none, "is_current": F.lit(True)})
+    table = read_history(spark, path).filter("is_current") if exists else start
+    versions = stage(fold_snapshots(table, rows, keys, track, monotone), "versions")
+    if versions.isEmpty():
+        return exists
+    same = table.join(versions.select(*keys).distinct(), list(keys), "left_anti")
+    _write_versions(versions.unionByName(same), path, load_id)
+    return True
+
+
+def _write_versions(rows: DataFrame, path: str, load_id: str) -> None:
     rows = rows.withColumn("load_id", F.when(F.col("is_current"), F.lit("open")).otherwise(F.lit(load_id)))
     staged = stage(rows, "history")
     for part in ("NOT is_current", "is_current"):

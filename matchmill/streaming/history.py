@@ -1,4 +1,4 @@
-"""The history load fed by a stream of landed snapshots: same function, called in order of time within each micro-batch."""
+"""The history load fed by a stream of landed snapshots: all snapshots of a micro-batch in one load."""
 
 from __future__ import annotations
 
@@ -6,33 +6,20 @@ import threading
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from matchmill.operators.scan import ordered_scan
-from matchmill.session import stage
-from matchmill.sources.sinks import load_history
+from matchmill.sources.sinks import load_many
 
 
 def load_snapshots(
     batch: DataFrame, path: str, keys: Sequence[str], track: Sequence[str], monotone: Sequence[str], load_id: str, valid_from: str,
     exists: bool,
 ) -> bool:
-    """Apply any number of snapshots per key to the history table; returns whether the table exists now.
+    """Apply any number of snapshots per key to the history table, in one load; returns whether the table exists now.
 
-    The first, second, ... snapshots of all keys make one load each, so the rounds are as many as the most snapshots of one
-    key. At one time of a key the row with the largest values comes first, and the others are late.
+    At one time of a key the row with the largest values comes first, and the others are late.
     """
-    # A set of different rows of one key and time, largest first.
-    ranked = batch.groupBy(*keys, valid_from).agg(F.array_sort(F.collect_set(F.struct(*track))).alias("_all"))
-    ranked = ranked.select(*keys, valid_from, F.posexplode(F.reverse("_all")).alias("_tie", "_row")).select(*keys, valid_from, "_tie", "_row.*")
-    numbered = stage(ordered_scan(stage(ranked, "ranked"), list(keys), [valid_from, "_tie"], row_number="_round"), "rounds")
-    last = numbered.agg(F.max("_round")).first()[0] or 0
-    for number in range(1, last + 1):
-        snapshot = numbered.filter(F.col("_round") == number).select(*keys, *track, valid_from)
-        load_history(batch.sparkSession, path, snapshot, keys, track, monotone, f"{load_id}-{number}", valid_from, exists)
-        exists = True
-    return exists
+    return load_many(batch.sparkSession, path, batch, keys, track, monotone, load_id, valid_from, exists)
 
 
 def stream_history(
@@ -41,7 +28,7 @@ def stream_history(
 ) -> StreamingQuery:
     """Start a run over all landed files; ``checkpoint`` and ``path`` lie in shared storage.
 
-    Loads are named after the streaming query, whose id lives in the checkpoint, the batch and the round: another checkpoint
+    Loads are named after the streaming query, whose id lives in the checkpoint, and the batch: another checkpoint
     never meets the same name, and a replayed batch does. A replayed load changes nothing, because its values equal the
     open versions; late or regressed rows are ignored by the change rule.
     """

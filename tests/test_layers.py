@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchmill.plans import layers
-from matchmill.sources.sinks import RowGateError, read_history
+from matchmill.sources.publication import GateError, read_published
 
 LOAD1, LOAD2 = dt.datetime(2026, 7, 1, 23), dt.datetime(2026, 7, 5, 23)
 NOW = dt.datetime(2026, 7, 6, 20)
@@ -44,11 +44,10 @@ def gold(spark, tmp_path_factory):
     for n, load in enumerate((LOAD1, LOAD2)):
         landed = str(tmp_path_factory.mktemp("landed"))
         land(spark, landed, load, n > 0)
-        layers.run_layers(spark, landed, out, as_of, f"load-{n}", {}, first_load=n == 0)
+        layers.run_layers(spark, landed, out, as_of, f"load-{n}", {})
 
     def table(name):
-        path = f"{out}/{name}"
-        return read_history(spark, path) if name.endswith("history") else spark.read.parquet(path)
+        return read_published(spark, out, name)[name]
 
     return table
 
@@ -103,6 +102,28 @@ def test_leaderboard_race_and_summary(gold):
 
 def test_small_load_changes_nothing(spark, tmp_path):
     land(spark, str(tmp_path / "in"), LOAD1, False)
-    with pytest.raises(RowGateError, match="players: 3 < 50"):
-        layers.run_layers(spark, str(tmp_path / "in"), str(tmp_path / "out"), F.lit(NOW), "load-0", first_load=True)
-    assert not (tmp_path / "out").exists()
+    with pytest.raises(GateError, match="bronze/players missing_rows: 47"):
+        layers.run_layers(spark, str(tmp_path / "in"), str(tmp_path / "out"), F.lit(NOW), "load-0")
+    assert read_published(spark, str(tmp_path / "out")) == {}
+
+
+def test_an_error_after_silver_keeps_the_gold_tables_and_a_skipped_feed_keeps_its_rows(spark, tmp_path, rows):
+    out, as_of = str(tmp_path / "out"), F.lit(NOW).cast("timestamp_ntz")
+    land(spark, str(tmp_path / "one"), LOAD1, False)
+    report = layers.run_layers(spark, str(tmp_path / "one"), out, as_of, "one", {})
+    assert {r.rule for r in report} >= {"missing_key", "duplicate_key", "unmapped_zone", "schedule_suite"} and all(r.ok for r in report if r.severity == "error")
+    before = rows(read_published(spark, out, "gold/schedule")["gold/schedule"], "match_id", "match_status")
+    land(spark, str(tmp_path / "two"), LOAD2, True)
+    wrong = spark.read.parquet(str(tmp_path / "two" / "matches")).withColumn("home_score", F.lit(-1).cast("long"))
+    wrong.write.parquet(str(tmp_path / "wrong"))
+    spark.read.parquet(str(tmp_path / "wrong")).write.mode("overwrite").parquet(str(tmp_path / "two" / "matches"))
+    with pytest.raises(GateError, match="negative_score"):
+        layers.run_layers(spark, str(tmp_path / "two"), out, as_of, "two", {})
+    assert rows(read_published(spark, out, "gold/schedule")["gold/schedule"], "match_id", "match_status") == before
+    assert read_published(spark, out, "silver/player_stats_history")["silver/player_stats_history"].count() == 2
+    layers.run_layers(spark, str(tmp_path / "two"), out, as_of, "three", {}, skipped=["matches"])
+    got = read_published(spark, out)
+    assert got["bronze/matches"].count() == 3 and got["silver/player_stats_history"].count() == 3
+    assert rows(read_published(spark, out, "gold/schedule", number=1)["gold/schedule"], "match_id", "match_status") == before
+    # The landed fixtures name no time of their ingestion: the run's is one for all rows.
+    assert got["bronze/matches"].select("ingested_at").distinct().count() == 1

@@ -88,11 +88,23 @@ def _powers(base: np.uint64, n: int, seen: dict = {}) -> np.ndarray:  # noqa: B0
 def word_hashes(text: bytes | None, table: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """64-bit hash, start and end (bytes) of each word of a text, the same in every process.
 
-    Words are polynomials over the bytes modulo 2^64, taken as differences of running sums, so that no loop runs per word.
+    Words are polynomials over the bytes modulo 2^64, taken as differences of running sums, so that no loop runs per word. Long texts
+    are hashed piece by piece: what a text needs beside its own bytes is 24 bytes a word.
     """
     if not text:
         none = np.empty(0, np.int64)
         return np.empty(0, np.uint64), none, none
+    if len(text) > 2 * PIECE:
+        parts, at = [], 0
+        for piece in pieces(text, table):
+            hashes, starts, ends = _piece_hashes(piece, table)
+            parts.append((hashes, starts + at, ends + at))
+            at += len(piece)
+        return tuple(np.concatenate(part) for part in zip(*parts, strict=True))
+    return _piece_hashes(text, table)
+
+
+def _piece_hashes(text: bytes, table: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     raw = np.frombuffer(text.translate(table), np.uint8)
     inside = np.empty(len(raw) + 2, np.bool_)
     inside[0] = inside[-1] = False

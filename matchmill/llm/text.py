@@ -14,6 +14,8 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 #: Rows of one Arrow batch. Texts can be very long, so that batches are kept small.
 BATCH_ROWS = 256
 BATCH_BYTES = "16m"
+#: Rows that a task hands back at once of those it gathered.
+FOLDED_ROWS = 1 << 15
 
 
 def _table(separators: bytes) -> bytes:
@@ -212,11 +214,16 @@ def fold_tasks(df: DataFrame, make: Callable[[], tuple], schema: str) -> DataFra
         def shaped(made: dict) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(made[n], t) for n, t in types], names=[n for n, _ in types])
 
+        def sliced(made: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            # Many rows at once would stand in the executor's memory twice more.
+            for k in range(0, max(1, made.num_rows), FOLDED_ROWS):
+                yield made.slice(k, FOLDED_ROWS)
+
         add, rest = make()
         for batch in batches:
             made = add(*[column.to_pylist() for column in batch.columns])
             if made is not None:
-                yield shaped(made)
-        yield shaped(rest())
+                yield from sliced(shaped(made))
+        yield from sliced(shaped(rest()))
 
     return df.mapInArrow(run, fields)

@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 
 from matchmill.llm.ngrams import GramSets
 from matchmill.llm.text import add_columns, flat_map
-from matchmill.llm.training import share_per_class
+from matchmill.llm.training import distinct_sample
 
 SIZES, BITS = (1, 2, 3), 17
+FAMILIAR, STRANGE = 0.65, 0.005
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
 
@@ -33,6 +34,18 @@ class LanguageModel:
     sizes: np.ndarray  # square roots of the landmarks' set sizes
     whitening: np.ndarray
     weights: np.ndarray
+    #: Which buckets are at home in each language: those of several of its landmarks.
+    home: np.ndarray
+    #: Texts with a smaller share of n-grams at home in their language are in none of the learnt ones.
+    least_familiar: float = 0.0
+
+    def familiar(self, sets: Sequence[np.ndarray]) -> np.ndarray:
+        """The share of each text's n-grams that are at home in each language, whatever the length of the text."""
+        out = np.zeros((len(sets), len(self.languages)))
+        for row, found in zip(out, sets, strict=True):
+            columns = self.columns[found]
+            row[:] = self.home[columns[columns >= 0]].sum(axis=0) / max(1, len(found))
+        return out
 
     def kernel(self, sets: Sequence[np.ndarray]) -> np.ndarray:
         """Kernel values of texts with the landmarks."""
@@ -49,7 +62,10 @@ class LanguageModel:
 
 
 def fit(sets: Sequence[np.ndarray], languages: Sequence[str], landmarks: int = 192, ridge: float = 1e-2) -> LanguageModel:
-    """A model from sets of n-grams and their languages; every k-th row of each language is a landmark."""
+    """A model from sets of n-grams and their languages; every k-th row of each language is a landmark.
+
+    The least familiar share follows from the texts that are no landmarks: ``FAMILIAR`` of what all but ``STRANGE`` of them reach.
+    """
     names = sorted(set(languages))
     index = np.array([names.index(x) for x in languages], np.int64)
     chosen = []
@@ -64,9 +80,15 @@ def fit(sets: Sequence[np.ndarray], languages: Sequence[str], landmarks: int = 1
     for k, i in enumerate(chosen):
         present[columns[sets[i]], k] = 1.0
     sizes = np.sqrt(np.maximum(1, [len(sets[i]) for i in chosen])).astype(np.float64)
-    model = LanguageModel(names, columns, present, sizes, np.empty((len(chosen), 0)), np.empty((1, len(names))))
+    model = LanguageModel(names, columns, present, sizes, np.empty((len(chosen), 0)), np.empty((1, len(names))), np.empty((0, len(names))))
     if not chosen:
         return model
+    spoken = index[chosen]
+    model.home = np.column_stack([present[:, spoken == k].sum(axis=1) >= min(2, (spoken == k).sum()) for k in range(len(names))]).astype(np.float32)
+    others = np.setdiff1d(np.arange(len(sets)), chosen)
+    others = others if len(others) else np.array(chosen)
+    shares = model.familiar([sets[i] for i in others])[np.arange(len(others)), index[others]]
+    model.least_familiar = FAMILIAR * float(np.quantile(shares, STRANGE))
     own = (present.T @ present) / sizes[:, None] / sizes
     values, vectors = np.linalg.eigh(own.astype(np.float64))
     good = values > 1e-6 * values.max()
@@ -82,12 +104,12 @@ def fit(sets: Sequence[np.ndarray], languages: Sequence[str], landmarks: int = 1
 
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 600, landmarks: int = 192) -> LanguageModel:
-    """A model from a bounded sample of rows: about ``per_language`` of each language, as sets of n-grams.
+    """A model from a bounded sample of rows: at most ``per_language`` different texts of each language, as sets of n-grams.
 
     Rows with a null text, language or no word teach nothing. Without rows the model knows no language.
     """
     rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")).filter("text is not null and lang is not null")
-    few, _ = share_per_class(rows, "lang", ["text"], per_language)
+    few = distinct_sample(rows, "lang", "text", per_language).withColumnRenamed("label", "lang")
 
     def make():
         grams = GramSets(SIZES, BITS)
@@ -103,9 +125,10 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", per_langu
 
 
 def identify(docs: DataFrame, model: LanguageModel, keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
-    """``keep`` of every document with lang_pred and score (0 to 1), from its whole text; nothing is shuffled.
+    """``keep`` of every document with lang_pred, score (0 to 1) and familiar, from its whole text; nothing is shuffled.
 
-    ``und`` with score 0 stands for a null text, one without a letter, and all texts if the model knows no language. Equal
+    ``familiar`` is the share of the text's n-grams that are at home in the language; below the model's ``least_familiar`` the text is in
+    none of the learnt languages. ``und`` with score 0 stands for a null text, one without a letter, and all texts if the model knows no language. Equal
     scores go to the language that comes first by name.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -115,15 +138,16 @@ def identify(docs: DataFrame, model: LanguageModel, keep: Sequence[str] = ("doc_
 
         def score(texts):
             lettered = [k for k, t in enumerate(texts) if t and _LETTER.search(t.decode("utf-8", "replace"))]
-            names, sure = [UNKNOWN] * len(texts), [0.0] * len(texts)
+            names, sure, share = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
             for first in range(0, len(lettered) if known.languages else 0, 64):
                 part = lettered[first : first + 64]
-                values = known.scores([grams.of(texts[k]) for k in part])
-                for k, row in zip(part, values, strict=True):
+                sets = [grams.of(texts[k]) for k in part]
+                for k, row, familiar in zip(part, known.scores(sets), known.familiar(sets), strict=True):
                     best = int(np.argmax(row))
+                    share[k] = float(familiar[best])
                     names[k], sure[k] = known.languages[best], float(min(1.0, max(0.0, (row[best] + 1.0) / 2.0)))
-            return {"lang_pred": names, "score": sure}
+            return {"lang_pred": names, "score": sure, "familiar": share}
 
         return score
 
-    return add_columns(docs, make, "lang_pred string, score double", keep, text)
+    return add_columns(docs, make, "lang_pred string, score double, familiar double", keep, text)

@@ -23,7 +23,7 @@ from matchmill.llm.text import SPACED, as_bytes, flat_map, mix, shingle_hashes,
 from matchmill.session import stage
 
 SHINGLE, PERCENT = 5, 85
-#: Bands and rows of a band: a pair at the limit of 0.85 meets in some band with a probability of 0.99994.
+#: Bands, and rows of a band unless others are asked for: a pair at the limit of 0.85 meets in some band with a probability of 0.99994.
 BANDS, ROWS = 64, 12
 HASHES = BANDS * ROWS
 #: Signatures are compared in batches up to these numbers of hashes, by the last four bits of each.
@@ -52,9 +52,9 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(sign: np.ndarray) -> np.ndarray:
-    """A key for each band, different for different bands."""
-    return mix(sign.reshape(BANDS, ROWS).astype(np.uint64) @ _BAND + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+def band_keys(sign: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    """A key for each band of so many rows, different for different bands."""
+    return mix(sign[: BANDS * rows].reshape(BANDS, rows).astype(np.uint64) @ _BAND[:rows] + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def packed(sign: np.ndarray) -> bytes:
@@ -108,24 +108,27 @@ def similar(one: np.ndarray, two: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * common >= percent * (len(one) + len(two) - common)
 
 
-def _describe():
-    def describe(ids, texts):
-        out = {"id": ids, "n": [], "k1": [], "k2": [], "sign": [], "keys": []}
-        for text in texts:
-            shingles = shingle_set(text)
-            out["n"].append(len(shingles))
-            out["k1"].append(int(mix(shingles).sum(dtype=np.uint64).astype(np.int64)) if len(shingles) else 0)
-            out["k2"].append(int(mix(shingles ^ np.uint64(0x5DEECE66D1234567)).sum(dtype=np.uint64).astype(np.int64)) if len(shingles) else 0)
-            if len(shingles):
-                sign = signature(shingles)
-                out["sign"].append(packed(sign))
-                out["keys"].append(band_keys(sign).astype(np.int64))
-            else:
-                out["sign"].append(None)
-                out["keys"].append(None)
-        return out
+def _describe(rows: int):
+    def make():
+        def describe(ids, texts):
+            out = {"id": ids, "n": [], "k1": [], "k2": [], "sign": [], "keys": []}
+            for text in texts:
+                shingles = shingle_set(text)
+                out["n"].append(len(shingles))
+                out["k1"].append(int(mix(shingles).sum(dtype=np.uint64).astype(np.int64)) if len(shingles) else 0)
+                out["k2"].append(int(mix(shingles ^ np.uint64(0x5DEECE66D1234567)).sum(dtype=np.uint64).astype(np.int64)) if len(shingles) else 0)
+                if len(shingles):
+                    sign = signature(shingles)
+                    out["sign"].append(packed(sign))
+                    out["keys"].append(band_keys(sign, rows).astype(np.int64))
+                else:
+                    out["sign"].append(None)
+                    out["keys"].append(None)
+            return out
+
+        return describe
 
-    return describe
+    return make
 
 
 def _judge(percent: int):
@@ -199,16 +202,19 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return flat_map(both.select("a", "b", "text_a", "text_b"), _confirm(percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document.
 
+    ``rows`` (at most ``ROWS``) are the hashes of a band: fewer find more pairs at a lower ``percent``, and more to refuse. A pair at a
+    similarity of s has a common band with a probability of 1 - (1 - s ** rows) ** BANDS.
+
     Documents link if 100 * shingles in common >= ``percent`` * shingles of either; component_id is the smallest id a document
     reaches and kept whether that is its own. A null text or one without words has no shingles and links with nothing; with fewer
     than five words, all of them are one shingle. Rows that repeat an id are one document that links as each of its texts
     does. Rows with a null id take no part in links; they are kept. An empty table gives an empty one.
     """
     texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), as_bytes(text).alias("text"))
-    seen = stage(flat_map(texts, _describe, "id long, n long, k1 long, k2 long, sign binary, keys array<long>"), "signatures")
+    seen = stage(flat_map(texts, _describe(rows), "id long, n long, k1 long, k2 long, sign binary, keys array<long>"), "signatures")
     classes = stage(
         seen.filter("n > 0 and id is not null").groupBy("k1", "k2").agg(F.min("id").alias("first"), F.count("*").alias("copies")), "classes"
     )
@@ -235,10 +241,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
     blocks = F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / BLOCK))
-    rows = labelled.join(mixed, "key").select("key", "band", blocks.alias("block"), "id", "label", F.ceil(F.col("members") / BLOCK).alias("n"))
-    rows = rows.join(firsts.select("id", "sign", "keys"), "id")
+    parts = labelled.join(mixed, "key").select("key", "band", blocks.alias("block"), "id", "label", F.ceil(F.col("members") / BLOCK).alias("n"))
+    parts = parts.join(firsts.select("id", "sign", "keys"), "id")
     grouped = stage(
-        rows.groupBy("key", "band", "block", "n").agg(F.collect_list(F.struct("id", "label", "sign", "keys")).alias("rows")), "blocks"
+        parts.groupBy("key", "band", "block", "n").agg(F.collect_list(F.struct("id", "label", "sign", "keys")).alias("rows")), "blocks"
     )
     one = grouped.select("key", "band", F.col("block").alias("i"), F.col("rows").alias("one"), F.explode(F.sequence("block", F.col("n") - 1)).alias("j"))
     two = grouped.select("key", F.col("block").alias("j"), F.col("rows").alias("two"))

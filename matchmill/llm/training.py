@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -25,6 +25,24 @@ def share_per_class(labelled: DataFrame, label: str, key: list[str], per_class:
     return labelled.filter(chosen), sizes
 
 
+def distinct_sample(rows: DataFrame, label: str, text: str, per_class: int) -> DataFrame:
+    """(text, label) of at most ``per_class`` different texts of each class, chosen by a hash of the text.
+
+    How many different texts a class has is estimated, so that a class made of copies gives its texts like any other. Copies of a chosen
+    text are combined before they move, and no more than the limit is left of a class.
+    """
+    key = F.xxhash64(F.lit("sample"), F.col(text))
+    sizes = rows.groupBy(F.col(label).alias("label")).agg(F.approx_count_distinct(key).alias("n")).collect()
+    place = F.pmod(key, F.lit(1_000_000_007)) / 1_000_000_007.0
+    chosen = F.lit(False)
+    for row in sizes:
+        # A fifth more than wanted, as the number is an estimate.
+        chosen = chosen | ((F.col(label) == F.lit(row["label"])) & (place < 1.2 * per_class / max(1, row["n"])))
+    few = rows.filter(chosen).select(F.col(text).alias("text"), F.col(label).alias("label")).distinct()
+    ranked = Window.partitionBy("label").orderBy(F.xxhash64(F.lit("sample"), F.col("text")), "text")
+    return few.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") <= per_class).drop("_rank")
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, allowed: Column, per_class: int, text: str = "text", doc_id: str = "doc_id"
 ) -> tuple[DataFrame, dict]:

@@ -323,7 +323,7 @@ def test_pipeline_against_brute_force(spark):
         assert kept.columns == columns
         kept = spark.createDataFrame(kept.collect(), docs.schema)
         seen[name] = {r["doc_id"]: r["text"] for r in kept.collect()}
-    plain = plain_components(sorted(seen["language_id"].items()))
+    plain = plain_components(sorted(seen["language_id"].items()), corpus_pipeline.NEAR_PERCENT)
     assert set(seen["near_dedup"]) == {i for i, (_, _, stays) in plain.items() if stays}
     items = [(str(r["item_id"]), r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     from test_units import plain_windows

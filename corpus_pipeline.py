@@ -19,8 +19,8 @@ from matchmill.llm.training import fold
 from matchmill.session import stage
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-#: A text whose best language scores less is in none of the learnt ones.
-LEAST_SCORE = 0.25
+#: Near-duplicates have this share of shingles in common (percent); with bands of so many rows, a pair at it has a common band with 0.9999.
+NEAR_PERCENT, NEAR_ROWS = 80, 9
 
 
 def _plain(docs: DataFrame) -> DataFrame:
@@ -31,14 +31,14 @@ def _plain(docs: DataFrame) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that ``lang`` names; texts without letters and of other languages go.
 
-    The languages are learnt from rows with a lang whose crc32(doc_id) modulo 3 is not 1. If no row has one, those texts
-    that have letters stay.
+    The languages are learnt from rows with a lang whose crc32(doc_id) modulo 3 is not 1. A text is of another language if too few of
+    its n-grams are at home in the best one; the limit follows from learnt texts. If no row has a lang, those texts that have letters stay.
     """
     model = train(docs.filter(F.coalesce(fold("doc_id", 3) != 1, F.lit(False))))
     plain = _plain(docs)
     found = identify(plain, model, keep=plain.columns)
     if model.languages:
-        found = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+        found = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("familiar") >= model.least_familiar))
     else:
         found = found.filter(F.col("text").rlike(r"\p{L}"))
     return found.select(*plain.columns).toDF(*docs.columns)
@@ -46,7 +46,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that with the smallest doc_id. Ids to remove are broadcast if they are few."""
-    gone = stage(near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    gone = stage(near_duplicates(docs, percent=NEAR_PERCENT, rows=NEAR_ROWS).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
 

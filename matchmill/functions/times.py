@@ -32,6 +32,33 @@ def zone_to_utc(local: Column, zone: Column) -> Column:
     return F.convert_timezone(zone, F.lit("UTC"), local)
 
 
+#: By how much clocks are set back, in minutes: half an hour in some places.
+TURNS = (60, 30)
+
+
+def zone_instant(local: Column, zone: Column, later: bool = False) -> Column:
+    """The UTC time of a local time in a zone, for every local time there is or is not.
+
+    A time that clocks skip counts as if they had not been set yet, so 02:30 in a gap of an hour is 03:30. Of a time that occurs twice the
+    earlier counts, or the later. An unknown zone is an error, NULL gives NULL.
+    """
+    first = zone_to_utc(local, zone)
+    if not later:
+        return first
+    out = first
+    for minutes in reversed(TURNS):
+        after = first + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes), F.lit(0))
+        out = F.when(F.convert_timezone(F.lit("UTC"), zone, after) == local, after).otherwise(out)
+    return out
+
+
+def local_time_kind(local: Column, zone: Column) -> Column:
+    """``gap`` for a local time that clocks skip, ``twice`` for one that occurs twice, else ``once``: by going to UTC and back."""
+    first, last = zone_instant(local, zone), zone_instant(local, zone, later=True)
+    back = F.convert_timezone(F.lit("UTC"), zone, first)
+    return F.when(back != local, "gap").when(first != last, "twice").when(local.isNotNull(), "once")
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("SECOND", start, end)
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from matchmill.plans import (  # noqa: F401
-    event_queries, feed_queries, fixture_queries, publication_queries, quality_queries, snapshot_queries, suite_queries, tree_queries,
+    event_queries, feed_queries, fixture_queries, landing_queries, publication_queries, quality_queries, snapshot_queries,
+    suite_queries, tree_queries,
 )
 from matchmill.plans.registry import QUERIES, SQL, Query
 

@@ -152,7 +152,7 @@ race AS (
 
 
 def _race(spark, sf):
-    leaders = race_leaders(state_at(spark, sf), "user_id", RACE_ORDER)
+    leaders = stage(race_leaders(state_at(spark, sf), "user_id", RACE_ORDER), "leaders")  # a few rows, read by every part of the race
     # Only the leaders' increments are summed up.
     theirs = running(activity(spark, sf).join(leaders, "user_id", "left_semi"))
     return race(

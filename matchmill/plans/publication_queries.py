@@ -12,6 +12,7 @@ from matchmill.plans.registry import query
 from matchmill.plans.snapshot_queries import ASOF_SQL, DAILY_SQL, LOADS_SQL, VERSION, _daily, _loads
 from matchmill.plans.views import MEASURES, SNAPSHOTS_SQL, checkpoints, load, snapshots
 from matchmill.session import app_dir
+from matchmill.sources.compaction import compact, file_ranges
 from matchmill.sources.publication import WARNING, GateError, Load, Rule, read_published, report_rows
 
 TRACK = ["goals", "assists", "matches", "minutes"]
@@ -135,3 +136,23 @@ def _(spark, sf):
     """Steps spelt out for the users asked for."""
     asked = load(spark, sf, "events", "user_id", "event_type").filter("event_type = 'purchase'")
     return expand_runs(fill_intervals(_daily(spark, sf), "user_id", "day", ["goals"]), asked, "user_id")
+
+
+@query("layout_compact", """SELECT count(*) AS rows, sum(event_id)::BIGINT AS keys, min(ts) AS first_ts, max(ts) AS last_ts, TRUE AS fewer_files, TRUE AS less_overlap, 0 AS rewritten_again
+  FROM events""")
+def _(spark, sf):
+    """Events in many scattered files, compacted by time; a second run finds nothing to do."""
+    root = _root(spark)
+    events = load(spark, sf, "events", "event_id", "ts", "user_id", "value")
+    now = Load(spark, root, "scattered")
+    now.write("events", events.repartition(24, "event_id"))
+    now.publish()
+    target = sum(f.size for f in file_ranges(now.table("events"), "ts")) // 4
+    now = Load(spark, root, "compacted")
+    first = compact(now, "events", ["ts", "event_id"], target)
+    now.publish()
+    again = compact(Load(spark, root, "again"), "events", ["ts", "event_id"], target)
+    table = read_published(spark, root)["events"]
+    return table.agg(F.count(F.lit(1)).alias("rows"), F.sum("event_id").cast("long").alias("keys"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")).select(
+        "*", F.lit(first.files_after < first.files_before).alias("fewer_files"), F.lit(first.overlap_after < first.overlap_before).alias("less_overlap"),
+        F.lit(again.rewritten).alias("rewritten_again"))

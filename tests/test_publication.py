@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from matchmill.operators.asof import asof_intervals, expand_runs, fill_intervals, forward_fill
 from matchmill.operators.history import first_load, fold_snapshots, scd2_apply
+from matchmill.sources.compaction import FileRange, compact, file_ranges, overlap, plan_bins
 from matchmill.sources.publication import (
     WARNING, GateError, Load, Rule, expire_manifests, read_manifest, read_published, report_rows,
 )
@@ -162,3 +163,41 @@ def test_asof_intervals_at_boundaries(spark, rows):
     got = asof_intervals(points, snaps, "e", "ts", "t", ["v"])
     assert rows(got, "e", "from_step", "to_step", "v") == sorted([("a", 1, 1, 1), ("a", 2, 2, 2), ("a", 3, 3, 3), ("b", 3, 3, 5), (None, 1, 3, 7)], key=repr)
     assert asof_intervals(points, snaps.limit(0), "e", "ts", "t", ["v"]).count() == 0
+
+
+def brute_overlap(files):
+    known = [f for f in files if f.low is not None]
+    met = sum(1 for a in known for b in known if a is not b and a.low < a.high and a.low < b.high and b.low < a.high and b.low < b.high)
+    met += sum(1 for a in known for b in known if a is not b and a.low < a.high and b.low == b.high and a.low < b.low < a.high)
+    return met / len(files) if files else 0.0
+
+
+def test_bins_hold_what_overlaps_and_what_is_small():
+    f = lambda p, size, low, high: FileRange(p, size, low, high)
+    files = [f("n", 100, None, None), f("a", 100, 0, 10), f("b", 100, 10, 20), f("c", 90, 12, 30), f("d", 100, 30, 40), f("e", 5, 41, 42), f("g", 100, 50, 60)]
+    assert [[x.path for x in b] for b in plan_bins(files, 100)] == [["b", "c"], ["d", "e"]]
+    assert plan_bins([f("a", 1, 0, 1)], 100) == [] and plan_bins([], 100) == []
+    rng = random.Random(3)
+    for _ in range(50):
+        some = [f(str(k), 1, low := rng.randrange(20), low + rng.randrange(1, 6)) for k in range(rng.randrange(0, 9))]
+        assert overlap(some) == pytest.approx(brute_overlap(some))
+
+
+def test_compaction_writes_only_what_needs_it(spark, tmp_path, rows):
+    root = str(tmp_path)
+    load = Load(spark, root, "one")
+    data = spark.range(20_000).select(F.col("id").alias("n"), F.xxhash64("id").alias("x"), F.lit(None).cast("string").alias("s"))
+    load.write("a", data.filter("n >= 10000").repartition(12, "x").unionByName(data.filter("n < 10000").coalesce(1)))
+    load.publish()
+    sorted_file = [f.path for f in file_ranges(load.table("a"), "n") if f.high < 10_000]
+    assert len(sorted_file) == 1
+    target = sum(f.size for f in file_ranges(load.table("a"), "n")) // 4
+    load = Load(spark, root, "two")
+    done = compact(load, "a", ["n"], target)
+    assert rows(read_published(spark, root, "a")["a"].agg(F.count("*"), F.bit_xor("x"))) == rows(data.agg(F.count("*"), F.bit_xor("x")))
+    load.publish()
+    table = read_published(spark, root, "a")["a"]
+    assert rows(table) == rows(data) and table.schema.names == data.schema.names
+    assert done.files_after < done.files_before and done.rewritten == 12 and done.overlap_after == 0 < done.overlap_before
+    assert sorted_file[0] in {f.path for f in file_ranges(table, "n")}
+    assert compact(Load(spark, root, "three"), "a", ["n"], target).rewritten == 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +26,14 @@ def unpivot_sides(fixtures: DataFrame, keep: Sequence[str] = ("match_id",)) -> D
     return fixtures.select(*keep, both).select(*keep, "side.*")
 
 
-def participant_totals(fixtures: DataFrame, win: int = 3, draw: int = 1) -> DataFrame:
-    """Played, won, drawn, lost, goals, points, shut-outs and rates per participant over finished fixtures."""
-    sides = unpivot_sides(fixtures.filter("is_finished"), keep=())
+def participant_totals(fixtures: DataFrame, win: int = 3, draw: int = 1, latest: Mapping[str, str] | None = None) -> DataFrame:
+    """Played, won, drawn, lost, goals, points, shut-outs and rates per participant over finished fixtures.
+
+    ``latest`` adds columns of each participant's last fixture by kickoff and id (new column -> fixture column), in the same pass.
+    """
+    latest = dict(latest or {})
+    keep = list(dict.fromkeys(["match_id", "kickoff", *latest.values()])) if latest else []
+    sides = unpivot_sides(fixtures.filter("is_finished"), keep=keep)
     won, drawn = F.col("scored") > F.col("conceded"), F.col("scored") == F.col("conceded")
     totals = sides.groupBy("participant").agg(
         F.count(F.lit(1)).alias("played"),
@@ -38,6 +43,7 @@ def participant_totals(fixtures: DataFrame, win: int = 3, draw: int = 1) -> Data
         F.sum("scored").cast("long").alias("goals_for"),
         F.sum("conceded").cast("long").alias("goals_against"),
         F.count_if(F.col("conceded") == 0).alias("clean_sheets"),
+        *[F.max_by(c, F.struct("kickoff", "match_id")).alias(name) for name, c in latest.items()],
     )
     return totals.withColumns(
         {

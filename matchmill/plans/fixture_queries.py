@@ -118,8 +118,8 @@ def _groups(spark, sf):
     )
 
 
-def _group_ranks(spark, sf, rows=None):
-    totals = participant_totals(fixtures(spark, sf) if rows is None else rows)
+def _group_ranks(spark, sf, totals=None):
+    totals = participant_totals(fixtures(spark, sf)) if totals is None else totals
     totals = stage(totals.join(_groups(spark, sf), "participant"), "totals")
     order = [("points", True), ("goal_difference", True), ("goals_for", True)]
     return rank_rows(totals, order, ["group_name"], dense="rank_in_group")

@@ -185,7 +185,7 @@ def performance(silver: Mapping[str, DataFrame], fixtures: DataFrame) -> DataFra
     members = silver["teams"].select(F.col("team_name").alias("participant"), "group_name", F.col("team_logo").alias("logo"))
     group = silver["group_standings"].select(
         F.col("team_name").alias("participant"), F.col("rank").alias("rank_in_group"), F.col("matches_played").alias("group_played"),
-        F.col("points").alias("group_points"),
+        *[F.col(c).alias(f"group_{c}") for c in ("points", "wins", "draws", "losses", "goals_for", "goals_against")],
     )
     current = silver["player_stats_history"].filter("is_current").select("player_id", "assists")
     named = lookup_join(current, silver["players"], {"player_id": "player_id"}, {"provider": "player_name", "participant": "team_name"}, "inner")
@@ -268,7 +268,7 @@ def run_layers(
     without ``ingested_at`` get one moment for the whole run. ``load_id`` names the load. Of the histories only buckets with a change
     are written. Read the tables with ``read_published``, as ``gold/schedule`` for instance.
     """
-    load, moment = Load(spark, out_dir, load_id), F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
+    load, moment = Load(spark, out_dir, load_id), run_moment()
     bronze = {}
     for name in MINIMUM_ROWS:
         if name in skipped:
@@ -278,6 +278,17 @@ def run_layers(
         if "ingested_at" not in rows.columns:
             rows = rows.withColumn("ingested_at", moment if ingested_at is None else ingested_at)
         bronze[name] = load.write(f"bronze/{name}", rows, minimum.get(name, 0))
+    return build_layers(load, bronze, as_of)
+
+
+def run_moment() -> Column:
+    """The moment of ingestion, one for all rows of a run."""
+    return F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
+
+
+def build_layers(load: Load, bronze: Mapping[str, DataFrame], as_of: Column) -> list[CheckResult]:
+    """Silver and gold from the bronze tables that a load has written, checked and published with them; returns the report."""
+    spark = load.spark
     load.stop_on_errors()
     rules = silver_rules()
     silver = {name: load.write(f"silver/{name}", df, rules=rules.get(name)) for name, df in build_silver(bronze).items()}

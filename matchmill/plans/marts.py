@@ -17,7 +17,7 @@ from matchmill.operators.events import event_icon, event_sequences, top_actors
 from matchmill.operators.joins import lookup_join
 from matchmill.operators.ranking import gap_to_leader, percent_rank_table
 from matchmill.operators.shape import stage_ordinal, unified_facts
-from matchmill.operators.sides import latest_state, participant_totals, round_half_up, unpivot_sides
+from matchmill.operators.sides import participant_totals, round_half_up, unpivot_sides
 from matchmill.operators.tree import half_by_suffix, resolve_tree
 from matchmill.session import stage
 
@@ -145,28 +145,32 @@ def qualification(group_rank: Column, group_played: Column, played: Column, thro
     return status.when(played.isNull(), "Not Started").otherwise("In Progress")
 
 
+def profile_totals(fixtures: DataFrame) -> DataFrame:
+    """Totals and the latest stage of each participant, from one pass over both sides of the fixtures."""
+    return participant_totals(fixtures, latest={"current_stage": "stage"})
+
+
 def participant_profile(
-    teams: DataFrame, fixtures: DataFrame, group_ranks: DataFrame, events: DataFrame, assists: DataFrame, parity: bool = False
+    teams: DataFrame, fixtures: DataFrame | None, group_ranks: DataFrame, events: DataFrame, assists: DataFrame, parity: bool = False,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Everything about a participant: totals, group rank, latest stage, top scorer and top assister.
 
-    ``teams`` has participant and group_name; ``group_ranks`` participant, rank_in_group, group_played,
-    group_points; ``events`` team and actor; ``assists`` participant, provider and assists.
+    ``teams`` has participant and group_name; ``group_ranks`` participant, rank_in_group, group_played and any more
+    columns of the group stage; ``events`` team and actor; ``assists`` participant, provider and assists. ``totals`` may give what
+    ``profile_totals`` makes of the fixtures.
     """
-    totals = participant_totals(fixtures)
-    sides = unpivot_sides(fixtures.filter("is_finished"), keep=["match_id", "stage", "kickoff"])
-    latest = latest_state(sides, "participant", [F.col("kickoff").desc(), F.col("match_id").desc()], ["stage", "kickoff", "match_id"])
+    totals = profile_totals(fixtures) if totals is None else totals
     scorers = events.groupBy("team", "actor").agg(F.count(F.lit(1)).alias("n"))
     scorers = top_rows(scorers, ["team"], [F.col("n").desc(), F.col("actor").asc()])
     helpers = top_rows(assists, ["participant"], [F.col("assists").desc(), F.col("provider").asc()])
     key = {"participant": "participant"}
     rows = lookup_join(teams, totals, key, {c: c for c in totals.columns if c != "participant"})
-    rows = lookup_join(rows, group_ranks, key, {c: c for c in ("rank_in_group", "group_played", "group_points")})
-    rows = lookup_join(rows, latest, key, {"current_stage": "stage"})
+    rows = lookup_join(rows, group_ranks, key, {c: c for c in group_ranks.columns if c != "participant"})
     rows = lookup_join(rows, scorers, {"participant": "team"}, {"top_scorer": "actor", "top_scorer_events": "n"})
     rows = lookup_join(rows, helpers, key, {"top_assister": "provider", "top_assists": "assists"})
     status = qualification(F.col("rank_in_group"), F.col("group_played"), F.col("played"), parity=parity)
-    zero = [c for c in totals.columns if c != "participant"]
+    zero = [c for c in totals.columns if c not in ("participant", "current_stage")]
     rows = rows.withColumn("qualification", status)
     return rows.withColumns(
         {

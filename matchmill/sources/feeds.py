@@ -58,7 +58,11 @@ def explode_feed(payloads: DataFrame, path: Sequence[str], keep: Sequence[str] =
 
 def ranked_feed(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per ranked player; missing numbers are 0."""
-    rows = explode_feed(payloads, ["scorers"], keep)
+    return ranked_rows(explode_feed(payloads, ["scorers"], keep))
+
+
+def ranked_rows(rows: DataFrame) -> DataFrame:
+    """Elements of a ranked list with 0 for missing numbers."""
     numbers = ["goals", "assists", "matches", "minutes", "rating"]
     return rows.withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in numbers})
 
@@ -68,7 +72,11 @@ def fixtures_feed(payloads: DataFrame) -> DataFrame:
 
     A missing penalty score stays NULL: it means "no shoot-out yet", not 0.
     """
-    rows = explode_feed(payloads, ["games"])
+    return fixture_rows(explode_feed(payloads, ["games"]))
+
+
+def fixture_rows(rows: DataFrame) -> DataFrame:
+    """Elements of a fixture list, typed and named as ``fixtures_feed`` says."""
     out = {c: safe_int(F.col(c)) for c in ("home_score", "away_score")}
     out |= {c: whole_or_null(F.col(c)) for c in ("home_penalty_score", "away_penalty_score")}
     out |= {c: null_tokens(F.col(c), NO_ID) for c in ("home_team_id", "away_team_id")}
@@ -82,17 +90,26 @@ def fixtures_feed(payloads: DataFrame) -> DataFrame:
 
 
 def venues_feed(payloads: DataFrame) -> DataFrame:
-    rows = explode_feed(payloads, ["stadiums"])
+    return venue_rows(explode_feed(payloads, ["stadiums"]))
+
+
+def venue_rows(rows: DataFrame) -> DataFrame:
+    """Elements of a venue list with a safe capacity."""
     return rows.withColumn("capacity", safe_int(F.col("capacity"))).withColumnRenamed("id", "stadium_id")
 
 
 def standings_feed(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Standings rows of the two-level list, short codes spelt out."""
+    return standing_rows(explode_feed(payloads, ["tables", "rows"], keep))
+
+
+def standing_rows(rows: DataFrame) -> DataFrame:
+    """Elements of a standings list, short codes spelt out."""
     names = {
         "group": "group_name", "team": "team_name", "p": "matches_played", "w": "wins", "d": "draws", "l": "losses",
         "gf": "goals_for", "ga": "goals_against", "gd": "goal_difference", "pts": "points",
     }
-    return explode_feed(payloads, ["tables", "rows"], keep).withColumnsRenamed(names)
+    return rows.withColumnsRenamed(names)
 
 
 def distinct_teams(standings: DataFrame, order: Sequence[Column]) -> DataFrame:

@@ -12,7 +12,7 @@ from matchmill.operators.quality import Check, RowRules, run_checks
 from matchmill.operators.sides import participant_totals
 from matchmill.plans.fixture_queries import _group_ranks
 from matchmill.plans.registry import query
-from matchmill.plans.views import FIXTURES_SQL, SNAPSHOTS_SQL, TOTALS_SQL, fixtures, load, snapshots, state_at, state_sql
+from matchmill.plans.views import FIXTURES_SQL, SNAPSHOTS_SQL, TOTALS_SQL, VENUES_SQL, fixtures, load, snapshots, state_at, state_sql, venue_zones
 
 def _line_ids(spark, sf):
     lines = load(spark, sf, "lineitem", "l_orderkey", "l_linenumber")
@@ -184,3 +184,24 @@ def _(spark, sf):
 def _(spark, sf):
     """Clustered by names that share a prefix."""
     return cluster_layout(load(spark, sf, "customer", "c_custkey", "c_name", "c_acctbal"), ["c_name", "c_acctbal"])
+
+
+@query("dq_history_falls", f"""WITH {SNAPSHOTS_SQL}, told AS (SELECT event_id, user_id, ts, CASE WHEN event_id % 11 = 0 THEN goals - 1 ELSE goals END AS goals, CASE WHEN event_id % 13 = 0 THEN NULL ELSE minutes - event_id % 7 END AS minutes FROM snaps),
+  o AS (SELECT *, lag(goals) OVER w AS prev_goals, lag(minutes) OVER w AS prev_minutes FROM told WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+  SELECT event_id, goals, prev_goals, minutes, prev_minutes FROM o WHERE coalesce(goals < prev_goals, FALSE) OR coalesce(minutes < prev_minutes, FALSE)""")
+def _(spark, sf):
+    """Snapshots of which some have lost goals or minutes, or have none."""
+    key = F.col("event_id")
+    goals = F.when(key % 11 == 0, F.col("goals") - 1).otherwise(F.col("goals"))
+    minutes = F.when(key % 13 != 0, F.col("minutes") - key % 7)
+    told = snapshots(spark, sf).select("event_id", "user_id", "ts", goals.alias("goals"), minutes.alias("minutes"))
+    rows = quality.falling(told, "user_id", ["ts", "event_id"], ["goals", "minutes"], hour_of("ts"))
+    return rows.select("event_id", "goals", "prev_goals", "minutes", "prev_minutes")
+
+
+@query("dq_zone_mapping", f"WITH {VENUES_SQL}, o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE CAST(o_orderkey % 19 + 1 AS VARCHAR) END AS venue_id FROM orders) SELECT venue_id, count(*) AS fixtures FROM o WHERE venue_id NOT IN (SELECT venue_id FROM venues) GROUP BY venue_id")
+def _(spark, sf):
+    """Venues without hours, before any time is turned into UTC, with the fixtures that they hold."""
+    key = F.col("o_orderkey")
+    rows = load(spark, sf, "orders", "o_orderkey").select(F.when(key % 23 != 0, (key % 19 + 1).cast("string")).alias("venue_id"))
+    return quality.orphans(rows, venue_zones(spark), {"venue_id": "venue_id"}).groupBy("venue_id").agg(F.count(F.lit(1)).alias("fixtures"))

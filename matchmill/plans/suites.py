@@ -13,6 +13,7 @@ from matchmill.functions.text import lookup
 from matchmill.operators import quality
 from matchmill.operators.quality import Check, RowRules, run_checks
 from matchmill.operators.ranking import rank_rows
+from matchmill.session import stage
 
 STATUSES = ["Finished", "Live", "Upcoming"]
 
@@ -91,17 +92,22 @@ def schedule_suite(schedule: DataFrame) -> DataFrame:
 
 
 def performance_suite(profile: DataFrame, detail: DataFrame, fixtures: DataFrame) -> DataFrame:
-    """Profiles with logo and totals; event details complete; no event without its fixture."""
+    """Profiles with logo and totals; event details complete; no event without its fixture.
+
+    The events are read once: both of their checks see a row per fixture and team.
+    """
     who = F.col("participant")
     totals = F.lit(False)
     for column in ("played", "goals_for", "goals_against", "points"):
         totals = totals | F.col(column).isNull()
     gaps = F.col("actor").isNull() | (F.trim("actor") == "") | F.col("minute_base").isNull() | F.col("opponent").isNull()
+    sides = detail.groupBy("match_id", "team").agg(F.count(F.lit(1)).alias("events"), F.count_if(gaps).alias("gaps"))
+    sides = stage(sides, "events-per-side")
     return run_checks(
         [
             RowRules(profile, {"missing_logo": (F.col("logo").isNull(), who), "missing_stats": (totals, who)}),
-            RowRules(detail, {"incomplete_event": (gaps, F.col("team"))}),
-            Check("orphaned_event", lambda: quality.orphans(detail, fixtures, {"match_id": "match_id"}), F.col("match_id")),
+            Check("incomplete_event", lambda: sides.filter("gaps > 0"), F.col("team"), "gaps"),
+            Check("orphaned_event", lambda: quality.orphans(sides, fixtures, {"match_id": "match_id"}), F.col("match_id"), "events"),
         ]
     )
 

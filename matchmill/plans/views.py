@@ -147,9 +147,13 @@ def with_local_text(spark: SparkSession, rows: DataFrame) -> DataFrame:
 
 
 def packed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_packed_events(spark, sf_dir, fixtures(spark, sf_dir))
+
+
+def with_packed_events(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
     """Fixtures with each side's events packed into one text, as many as the side scored."""
     part = load(spark, sf_dir, "part", "p_partkey", "p_name")
-    rows = fixtures(spark, sf_dir).join(part, F.col("part_key") == F.col("p_partkey"))
+    rows = rows.join(part, F.col("part_key") == F.col("p_partkey"))
 
     def packed(score: str, seed: str, pace: int, step: int):
         def one(i):

@@ -13,7 +13,7 @@ from matchmill.functions.text import canonical_name, lookup, name_key
 from matchmill.functions.times import hours_until, is_live, minutes_elapsed, parse_local, status_at, to_utc
 from matchmill.fixed_values import STAGES
 from matchmill.operators.dedup import top_rows
-from matchmill.operators.events import event_icon, event_sequences, top_actors
+from matchmill.operators.events import event_icon, event_sequences, top_actor, top_actors
 from matchmill.operators.joins import lookup_join
 from matchmill.operators.ranking import gap_to_leader, percent_rank_table
 from matchmill.operators.shape import stage_ordinal, unified_facts
@@ -82,9 +82,12 @@ def leaderboard(
 
 
 def schedule_fact(
-    fixtures: DataFrame, venues: DataFrame, as_of: Column, events: DataFrame | None = None, tree: DataFrame | None = None
+    fixtures: DataFrame, venues: DataFrame, as_of: Column, events: DataFrame | None = None, tree: DataFrame | None = None, packed: bool = False
 ) -> DataFrame:
-    """One row per fixture: UTC time, status, time until or since, display names, half, top actor of each side."""
+    """One row per fixture: UTC time, status, time until or since, display names, half, top actor of each side.
+
+    Top actors come from ``events`` or, if ``packed``, from the texts ``home_events`` and ``away_events`` of the fixtures themselves.
+    """
     rows = lookup_join(
         fixtures, venues, {"venue_id": "venue_id"},
         {"city": "city", "country": "country", "hours_west": "hours_west"}, how="left",
@@ -105,13 +108,17 @@ def schedule_fact(
             rows, shown, {"match_id": "match_id"},
             {c: c for c in ("position", "feeds_into", "home_display", "away_display")},
         ).withColumn("half", half_by_suffix(F.col("position")))
-    if events is not None:
+    if packed:
+        tops = {f"_{side[0]}": top_actor(F.col(f"{side}_events")) for side in ("home", "away")}
+        rows = rows.withColumns(tops).withColumns({c: F.when(F.col(c).isNotNull(), F.struct(F.col(c)["actor"].alias("actor"), (-F.col(c)["fewer"]).alias("events"))) for c in tops})
+    elif events is not None:
         best = top_actors(events)
         actor = F.struct("actor", "events")
         pair = best.groupBy("match_id").agg(
             F.max(F.when(F.col("is_home"), actor)).alias("_h"), F.max(F.when(~F.col("is_home"), actor)).alias("_a")
         )
         rows = lookup_join(rows, pair, {"match_id": "match_id"}, {"_h": "_h", "_a": "_a"})
+    if packed or events is not None:
         rows = rows.withColumns(
             {
                 "home_top_actor": F.col("_h.actor"), "home_top_events": F.col("_h.events"),
@@ -183,8 +190,8 @@ def participant_profile(
 FIXTURE_FACTS = ["home_team", "away_team", "home_score", "away_score", "stage", "kickoff", "venue_id"]
 
 
-def event_detail(events: DataFrame, fixtures: DataFrame | None, venues: DataFrame) -> DataFrame:
-    """Events with opponent, result, venue, icon and both sequence numbers, for finished fixtures.
+def event_detail(events: DataFrame, fixtures: DataFrame | None, venues: DataFrame, overall: bool = True) -> DataFrame:
+    """Events with opponent, result, venue, icon and both sequence numbers (the first alone without ``overall``), for finished fixtures.
 
     Events parsed from finished fixtures with ``keep=FIXTURE_FACTS`` carry all they need: pass no fixtures.
     """
@@ -200,7 +207,7 @@ def event_detail(events: DataFrame, fixtures: DataFrame | None, venues: DataFram
             "icon": event_icon(F.col("is_penalty")),
         }
     )
-    return event_sequences(rows)
+    return event_sequences(rows, overall=overall)
 
 
 def kpi_summary(

@@ -4,6 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from matchmill.operators.events import (
+    detail_text, event_order, nested_lists, nested_rollup, packed_items, parse_detail, parse_detail_list, parse_packed_events, top_actor, top_actors, with_event_order,
+)
 from matchmill.plans import suites
 
 SF = "/root/testdata/sf0.001"
@@ -26,3 +29,81 @@ def test_performance_suite_counts_events_of_repeated_and_unknown_fixtures(spark)
     known = spark.createDataFrame([(1,), (1,)], "match_id int")
     got = {tuple(r) for r in suites.performance_suite(profile, detail, known).collect()}
     assert got == {("incomplete_event", "A", 3), ("orphaned_event", "2", 2)}
+
+
+def _shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+ODD = [
+    ("""{"Ana 23'","José M. 90+2'(p)","Ana 23'"}""", None), ("{}", "null"), ('{"broken', """{"No minute"}"""), (None, """{" ","Kim 9'"}"""),
+    ('{"A, B 5\'", "C 6\'"}', '{"say \\"hi\\" 7\'","D 8\'"}'), ('{"A 5\'"}\n', '{"A 1\'","B 1\'","A 2\'",",","A"}'), ('{"A 99999999999\'","B 45+\'"}', '{A,B 12}'),
+    ("{" + ",".join(f'"P{i % 7}x {i % 90}\'"' for i in range(900)) + "}", '{"A {x} 5\'","B [y] 6\'"}'),
+]
+
+
+def _odd(spark):
+    data = [(i, "Turkey", "Chad", home, away) for i, (home, away) in enumerate(ODD)]
+    return spark.createDataFrame(data, "match_id int, home_team string, away_team string, home_events string, away_events string")
+
+
+def test_plain_lists_read_as_json(spark):
+    texts = spark.createDataFrame([(t,) for pair in ODD for t in pair], "t string")
+    usable = F.col("t").isNotNull() & (F.col("t") != "null") & (F.length("t") > 5)
+    json = F.when(usable, F.from_json(F.translate("t", "{}", "[]"), "array<string>"))
+    assert all(r[0] == r[1] for r in texts.select(packed_items(F.col("t")), json).collect())
+
+
+def test_lists_of_a_fixture_need_no_shuffle(spark):
+    df = _odd(spark)
+    events = with_event_order(parse_packed_events(df))
+    text = detail_text(F.col("actor"), F.col("minute"), F.col("is_penalty"))
+    grouped = nested_rollup(df.select("match_id"), events, "match_id", "is_home", text, event_order())
+    own = nested_lists(df)
+    assert _shuffles(own) == 0 < _shuffles(grouped)
+    assert sorted(map(tuple, own.collect())) == sorted(map(tuple, grouped.collect()))
+
+
+def test_top_actor_of_a_text_is_that_of_its_events(spark):
+    df = _odd(spark)
+    tops = df.select("match_id", F.explode(F.array(
+        F.struct(F.lit(True).alias("h"), top_actor(F.col("home_events")).alias("t")), F.struct(F.lit(False).alias("h"), top_actor(F.col("away_events")).alias("t")))).alias("s"))
+    own = tops.filter("s.t IS NOT NULL").selectExpr("match_id", "s.h", "s.t.actor", "-s.t.fewer")
+    assert _shuffles(own) == 0
+    assert sorted(map(tuple, own.collect())) == sorted(map(tuple, top_actors(parse_packed_events(df)).select("match_id", "is_home", "actor", "events").collect()))
+
+
+@pytest.mark.parametrize("text, entries", [
+    ("[a (1),b (2, PEN),c (3]", ["a (1)", "b (2, PEN)", "c (3"]), ("[((a),b),c]", ["((a),b)", "c"]), ("['a (1)', 'b (45+2) (PEN)']", ["a (1)", "b (45+2) (PEN)"]), ("['NA']", []),
+])
+def test_entries_go_on_while_brackets_are_open(spark, text, entries):
+    assert spark.range(1).select(parse_detail_list(F.lit(text))).first()[0] == entries
+
+
+@pytest.mark.parametrize("entry, parsed", [
+    ("Ana (45+2) (PEN)", ("Ana", "45+2", True)), ("Ana (7)", ("Ana", "7", False)), ("Ana (7)\n", ("Ana (7)\n", None, False)), ("Ana (7) (pen)", ("Ana", "7", True)),
+    ("A (b) (7)", ("A (b)", "7", False)), ("(7)", ("", "7", False)),
+])
+def test_plain_details_read_as_others(spark, entry, parsed):
+    fields = parse_detail(F.col("e"))
+    assert tuple(spark.createDataFrame([(entry,)], "e string").select(*[c.alias(n) for n, c in fields.items()]).first()) == parsed
+
+
+@pytest.mark.parametrize("name", ["event_detail", "nested_rollup", "detail_parse", "top1_per_group", "schedule_fact"])
+def test_queries_write_no_events(spark, monkeypatch, name):
+    monkeypatch.setattr("matchmill.operators.events.stage", _never)
+    monkeypatch.setattr("matchmill.plans.event_queries.stage", _never)
+    entry.queries()[name](spark, SF)
+
+
+@pytest.mark.parametrize("name, held", [("event_sequences", {"raw", "event_id", "actor"}), ("kpi_summary", {"home_events", "away_events"}), ("participant_profile", {"home_events", "away_events"})])
+def test_staged_rows_are_narrow(spark, monkeypatch, name, held):
+    for module in ("matchmill.operators.events", "matchmill.plans.event_queries"):
+        real = __import__(module, fromlist=["stage"]).stage
+
+        def narrow(df, label, real=real):
+            assert not held & set(df.columns)
+            return real(df, label)
+
+        monkeypatch.setattr(f"{module}.stage", narrow)
+    assert entry.queries()[name](spark, SF).count() > 0

@@ -41,8 +41,18 @@ def favourite_opponents(events: DataFrame, fixtures: DataFrame | None = None) ->
         joined = events
     else:
         joined = events.select("match_id", "actor", "team", "is_home").join(fixtures.select("match_id", "home_team", "away_team"), "match_id")
+    return favourites_of(opponent_pairs(joined))
+
+
+def opponent_pairs(events: DataFrame, **measures: Column) -> DataFrame:
+    """(actor, team, opponent, against) with the events of each, and further aggregates, of events that carry their fixture's sides."""
     opponent = F.when(F.col("is_home"), F.col("away_team")).otherwise(F.col("home_team"))
-    counts = joined.groupBy("actor", "team", opponent.alias("opponent")).agg(F.count(F.lit(1)).alias("against"))
+    return events.groupBy("actor", "team", opponent.alias("opponent")).agg(
+        F.count(F.lit(1)).alias("against"), *[column.alias(name) for name, column in measures.items()])
+
+
+def favourites_of(pairs: DataFrame) -> DataFrame:
+    counts = pairs.select("actor", "team", "opponent", "against")
     return top_rows(counts, ["actor", "team"], [F.col("against").desc(), F.col("opponent").asc()])
 
 

@@ -248,12 +248,14 @@ def _(spark, sf):
   WINDOW o AS (ORDER BY goals DESC, penalties DESC, minutes, actor_id) QUALIFY row_number() OVER o <= 10""")
 def _(spark, sf):
     events = parse_packed_events(packed_events(spark, sf), keep=["home_team", "away_team"])
-    events = stage(events.select("actor", "team", "is_home", "home_team", "away_team", "minute_base", "is_penalty"), "events")
-    actors = events.groupBy("actor", "team").agg(
-        F.count(F.lit(1)).alias("goals"), F.count_if("is_penalty").alias("penalties"), F.sum("minute_base").cast("long").alias("minutes")
+    # A row per actor, team and opponent serves the board and the favourites.
+    pairs = marts.opponent_pairs(events, penalties=F.count_if("is_penalty"), minutes=F.sum("minute_base"))
+    pairs = stage(pairs, "pairs")
+    actors = pairs.groupBy("actor", "team").agg(
+        F.sum("against").alias("goals"), F.sum("penalties").alias("penalties"), F.sum("minutes").alias("minutes")
     ).withColumn("actor_id", F.concat_ws("@", "actor", "team"))
     order = [("goals", True), ("penalties", True), ("minutes", False)]
-    board = marts.leaderboard(actors, order, ["goals"], "actor_id", favourites=marts.favourite_opponents(events))
+    board = marts.leaderboard(actors, order, ["goals"], "actor_id", favourites=marts.favourites_of(pairs))
     return board.select(
         "actor_id", "goals", "penalties", "minutes", "row_rank", "dense_rank", "behind_leader", "goals_percentile", "opponent", "against"
     )

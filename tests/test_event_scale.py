@@ -107,3 +107,18 @@ def test_staged_rows_are_narrow(spark, monkeypatch, name, held):
 
         monkeypatch.setattr(f"{module}.stage", narrow)
     assert entry.queries()[name](spark, SF).count() > 0
+
+
+def test_leaderboard_writes_pairs_not_events(spark, monkeypatch):
+    from matchmill.plans import snapshot_queries
+
+    real, rows = snapshot_queries.stage, []
+
+    def counted(df, label):
+        out = real(df, label)
+        rows.append(set(out.columns))
+        return out
+
+    monkeypatch.setattr(snapshot_queries, "stage", counted)
+    assert entry.queries()["actor_leaderboard"](spark, SF).count() == 10
+    assert rows == [{"actor", "team", "opponent", "against", "penalties", "minutes"}]

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from matchmill.operators.events import (
-    detail_text, event_order, nested_lists, nested_rollup, packed_items, parse_detail, parse_detail_list, parse_packed_events, top_actor, top_actors, with_event_order,
+    detail_text, event_fields, event_order, nested_lists, nested_rollup, packed_items, parse_detail, parse_detail_list, parse_packed_events, top_actor, top_actors, with_event_order,
 )
-from matchmill.plans import suites
+from matchmill.functions.text import canonical_name
+from matchmill.plans import suites, views
 
 SF = "/root/testdata/sf0.001"
 
@@ -54,6 +55,46 @@ def test_plain_lists_read_as_json(spark):
     assert all(r[0] == r[1] for r in texts.select(packed_items(F.col("t")), json).collect())
 
 
+def test_generators_hold_ready_lists(spark):
+    """What stands in a generator is not compiled."""
+    plan = parse_packed_events(_odd(spark), aliases={"Turkey": "T"})._jdf.queryExecution().executedPlan().toString()
+    lines = [line for line in plan.splitlines() if "Generate" in line]
+    assert len(lines) == 2 and not any("from_json" in line or "RLIKE" in line or "lower" in line for line in lines)
+
+
+def test_quotes_inside_lists_are_read_as_json(spark):
+    odd = ['{"A",","B"}', '{"A","","B"}', '{"","B 1\'"}', '{"A" ,"B"}', '{"A\x01B"}', '{"A"}"}', '{"A","B}', '{"' + "A" * 5000 + '"}']
+    texts = spark.createDataFrame([(t,) for t in odd], "t string")
+    json = F.from_json(F.translate("t", "{}", "[]"), "array<string>")
+    assert all(r[0] == r[1] for r in texts.select(packed_items(F.col("t")), json).collect())
+
+
+def test_names_end_at_the_first_digit(spark):
+    texts = ["Ana 23'", "45+2 Kim", "No digit", "A\nB 7 8", " 9", "Ü 3+", "a1b1"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    fields = event_fields(F.col("t"))
+    plain = F.trim(F.regexp_extract("t", r"^([^0-9]+)", 1)), F.regexp_extract("t", r"([0-9]+(?:\+[0-9]+)?)", 1)
+    assert all(r[0] == r[2] and r[1] == r[3] for r in rows.select(fields["actor"], fields["minute"], *plain).collect())
+
+
+def test_aliases_of_any_length_and_case(spark):
+    names = ["NATION_4", " nation_4 ", "Nation_10", "İran", "ÇAD", "", None]
+    rows = spark.createDataFrame([(n,) for n in names], "n string")
+    got = [r[0] for r in rows.select(canonical_name(F.col("n"), {"Nation_4": "E", "çad": "C", "İran": "I"})).collect()]
+    assert got == ["E", "E", "Nation_10", "I", "C", "", None]
+
+
+def test_texts_of_any_number_of_events(spark, monkeypatch):
+    data = [(i, i, 30 - i, 7 * i, 5 * i, i + 3) for i in range(31)]
+    rows = spark.createDataFrame(data, "match_id long, home_score int, away_score int, part_key long, supp_key long, quantity int")
+    part = spark.createDataFrame([(7 * i, f"part {chr(97 + i % 26)}") for i in range(31)], "p_partkey long, p_name string")
+    monkeypatch.setattr(views, "load", lambda *_: part)
+    spelt = views.with_packed_events(spark, SF, rows)
+    monkeypatch.setattr(views, "SPELT_OUT", 0)
+    listed = views.with_packed_events(spark, SF, rows)
+    assert spelt.count() == 31 and sorted(spelt.collect()) == sorted(listed.collect())
+
+
 def test_lists_of_a_fixture_need_no_shuffle(spark):
     df = _odd(spark)
     events = with_event_order(parse_packed_events(df))

@@ -203,7 +203,8 @@ FIXTURE_FACTS = ["home_team", "away_team", "home_score", "away_score", "stage",
 def event_detail(events: DataFrame, fixtures: DataFrame | None, venues: DataFrame, overall: bool = True) -> DataFrame:
     """Events with opponent, result, venue, icon and both sequence numbers (the first alone without ``overall``), for finished fixtures.
 
-    Events parsed from finished fixtures with ``keep=FIXTURE_FACTS`` carry all they need: pass no fixtures.
+    Events parsed from finished fixtures with ``keep=FIXTURE_FACTS`` carry all they need: pass no fixtures. Those of ``numbered_events`` have the
+    first number already.
     """
     rows = events if fixtures is None else events.join(fixtures.filter("is_finished").select("match_id", *FIXTURE_FACTS), "match_id")
     rows = lookup_join(rows, venues, {"venue_id": "venue_id"}, {"city": "city", "country": "country"}, how="left")
@@ -217,7 +218,7 @@ def event_detail(events: DataFrame, fixtures: DataFrame | None, venues: DataFram
             "icon": event_icon(F.col("is_penalty")),
         }
     )
-    return event_sequences(rows, overall=overall)
+    return rows if not overall and "number_in_match" in rows.columns else event_sequences(rows, overall=overall)
 
 
 def kpi_summary(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from matchmill.operators.events import (
-    detail_text, event_fields, event_order, nested_lists, nested_rollup, packed_items, parse_detail, parse_detail_list, parse_packed_events, top_actor, top_actors, with_event_order,
+    detail_text, event_fields, event_order, event_sequences, nested_lists, nested_rollup, numbered_events, packed_items, packed_sequences, parse_detail, parse_detail_list, parse_packed_events, top_actor, top_actors, with_event_order,
 )
 from matchmill.functions.text import canonical_name
 from matchmill.plans import suites, views
@@ -105,6 +105,41 @@ def test_lists_of_a_fixture_need_no_shuffle(spark):
     assert sorted(map(tuple, own.collect())) == sorted(map(tuple, grouped.collect()))
 
 
+def _numbered(spark, df):
+    events = parse_packed_events(df, keep=["kickoff"])
+    return event_sequences(events).select("match_id", "team", "ordinal", "number_in_match", "number_overall")
+
+
+def test_texts_number_their_own_events(spark):
+    df = _odd(spark).withColumn("kickoff", F.expr("timestamp_ntz'2024-01-01 10:30:00' + make_dt_interval(0, 7 - match_id % 3)"))
+    all_numbers = sorted(map(tuple, _numbered(spark, df).collect()), key=repr)
+    assert sorted(map(tuple, packed_sequences(df).collect()), key=repr) == all_numbers
+    own = numbered_events(df, keep=["kickoff"])
+    assert _shuffles(own) == 0
+    assert sorted(map(tuple, own.select("match_id", "team", "ordinal", "number_in_match").collect()), key=repr) == [r[:4] for r in all_numbers]
+    plain = parse_packed_events(df, keep=["kickoff"])
+    assert sorted(map(tuple, own.drop("number_in_match").collect()), key=repr) == sorted(map(tuple, plain.drop("event_id", "raw").collect()), key=repr)
+
+
+def _depths(df, sign):
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    return [len(line) - len(line.lstrip(" :+-")) for line in lines if sign in line]
+
+
+def test_details_are_numbered_without_a_window_over_events(spark):
+    detail = entry.queries()["event_detail"](spark, SF)
+    assert min(_depths(detail, "Window")) > min(_depths(detail, "home_events"))
+
+
+def test_sequences_write_a_row_per_side(spark, monkeypatch):
+    from matchmill.operators import events
+
+    real, written = events.stage, []
+    monkeypatch.setattr(events, "stage", lambda df, label: written.append(real(df, label)) or written[-1])
+    rows = entry.queries()["event_sequences"](spark, SF)
+    assert len(written) == 1 and written[0].count() == rows.select("match_id", "team").distinct().count() < rows.count()
+
+
 def test_top_actor_of_a_text_is_that_of_its_events(spark):
     df = _odd(spark)
     tops = df.select("match_id", F.explode(F.array(

@@ -96,8 +96,13 @@ def schedule_fact(
 ) -> DataFrame:
     """One row per fixture: UTC time, status, time until or since, display names, half, top actor of each side.
 
-    Top actors come from ``events`` or, if ``packed``, from the texts ``home_events`` and ``away_events`` of the fixtures themselves.
+    Top actors come from ``events`` or, if ``packed``, from the texts ``home_events`` and ``away_events`` of the fixtures themselves, which go.
     """
+    if packed:
+        # Before any join, so that no join moves the texts.
+        tops = {f"_{side[0]}": top_actor(F.col(f"{side}_events")) for side in ("home", "away")}
+        fixtures = fixtures.withColumns(tops).drop("home_events", "away_events")
+        fixtures = fixtures.withColumns({c: F.when(F.col(c).isNotNull(), F.struct(F.col(c)["actor"].alias("actor"), (-F.col(c)["fewer"]).alias("events"))) for c in tops})
     rows = lookup_join(
         fixtures, venues, {"venue_id": "venue_id"},
         {"city": "city", "country": "country", "hours_west": "hours_west"}, how="left",
@@ -118,10 +123,7 @@ def schedule_fact(
             rows, shown, {"match_id": "match_id"},
             {c: c for c in ("position", "feeds_into", "home_display", "away_display")},
         ).withColumn("half", half_by_suffix(F.col("position")))
-    if packed:
-        tops = {f"_{side[0]}": top_actor(F.col(f"{side}_events")) for side in ("home", "away")}
-        rows = rows.withColumns(tops).withColumns({c: F.when(F.col(c).isNotNull(), F.struct(F.col(c)["actor"].alias("actor"), (-F.col(c)["fewer"]).alias("events"))) for c in tops})
-    elif events is not None:
+    if not packed and events is not None:
         best = top_actors(events)
         actor = F.struct("actor", "events")
         pair = best.groupBy("match_id").agg(

@@ -140,6 +140,12 @@ def test_sequences_write_a_row_per_side(spark, monkeypatch):
     assert len(written) == 1 and written[0].count() == rows.select("match_id", "team").distinct().count() < rows.count()
 
 
+def test_schedule_joins_move_no_texts(spark):
+    schedule = entry.queries()["schedule_fact"](spark, SF)
+    # The joins with the venues and the tree stand above the lines that make the texts.
+    assert max(_depths(schedule, "Join LeftOuter")) < min(_depths(schedule, "home_events"))
+
+
 def test_top_actor_of_a_text_is_that_of_its_events(spark):
     df = _odd(spark)
     tops = df.select("match_id", F.explode(F.array(

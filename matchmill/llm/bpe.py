@@ -17,7 +17,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from matchmill.llm.text import add_columns
+from matchmill.llm.text import AT_TASK_END, add_columns
 
 #: The short forms that the pattern of pieces takes as one,
 #: 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
@@ -137,6 +137,12 @@ class Codec:
         self.offsets = np.array(list(accumulate((len(by_id.get(i, b"")) for i in range(max(by_id) + 1)), initial=0)), np.int64)
         self.pool = np.frombuffer(b"".join(by_id.get(i, b"") for i in range(max(by_id) + 1)), np.uint8)
 
+    def forget(self) -> None:
+        """Drop the results kept so far."""
+        for kept in (self.compatible, self.pieces):
+            kept.clear()
+            kept.old = {}
+
     def _compatible(self, pair: tuple[int, int]) -> bool:
         """Whether merging by rank never joins anything across the border of the two tokens.
 
@@ -217,9 +223,10 @@ _CODECS: dict[str, Codec] = {}
 
 
 def codec(vocabulary: Vocabulary) -> Codec:
-    """The codec of a vocabulary, built once per process."""
+    """The codec of a vocabulary, built once per process; results kept for recent pieces go once a task ends."""
     if vocabulary.key not in _CODECS:
-        _CODECS[vocabulary.key] = Codec(vocabulary)
+        _CODECS[vocabulary.key] = made = Codec(vocabulary)
+        AT_TASK_END.append(made.forget)
     return _CODECS[vocabulary.key]
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from matchmill.llm import near_dedup
+from matchmill.llm import bpe, near_dedup, text
 from matchmill.llm.language import SIZES, identify, train
 from matchmill.llm.ngrams import GramSets
 from matchmill.llm.training import distinct_sample
@@ -93,3 +93,10 @@ def test_n_grams_of_long_texts_are_those_of_the_whole(monkeypatch):
     monkeypatch.setattr("matchmill.llm.ngrams.PIECE", 50)
     monkeypatch.setattr("matchmill.llm.ngrams.pieces", lambda t, table: __import__("matchmill.llm.text", fromlist=["pieces"]).pieces(t, table, 60))
     assert np.array_equal(grams.of(raw), whole)
+
+
+def test_results_of_the_encoder_go_when_a_task_ends():
+    code = bpe.codec(bpe.Vocabulary(corpus_pipeline.VOCABULARY))
+    run = text.give_back(lambda batches: ((b, code.encode("some words, some more")) for b in batches))
+    assert [b for b, _ in run(iter([1, 2]))] == [1, 2]
+    assert not (code.pieces or code.pieces.old or code.compatible or code.compatible.old)

@@ -23,7 +23,7 @@ from matchmill.llm.text import AT_TASK_END, add_columns
 #: 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
 SHORT_FORMS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Pieces and pairs of tokens whose results are kept at a time.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
 
@@ -143,13 +143,13 @@ class Codec:
             kept.clear()
             kept.old = {}
 
-    def _compatible(self, pair: tuple[int, int]) -> bool:
-        """Whether merging by rank never joins anything across the border of the two tokens.
+    def _compatible(self, pair: int) -> bool:
+        """Whether merging by rank never joins anything across the border of the two tokens, given as one number.
 
         The tokens are taken apart from the border outwards, the later merge first: a merge over the border spoils the pair
         if it comes before the merge that covers one of its sides.
         """
-        one, two = pair
+        one, two = divmod(pair, 1 << 32)
         before = 1 << 60
         while True:
             across = self.merged.get((one, two))
@@ -183,7 +183,7 @@ class Codec:
         at, token = 0, longest[0]
         while True:
             last = out[-1] if out else -1
-            while token >= 0 and not (alive[at + size[token]] and (last < 0 or compatible[last, token])):
+            while token >= 0 and not (alive[at + size[token]] and (last < 0 or compatible[last << 32 | token])):
                 token = shorter[token]
             if token >= 0:
                 out.append(token)

@@ -3,6 +3,9 @@
 An Aho-Corasick automaton over the vocabulary finds the longest token at every place of a piece. The encoder takes the longest
 token that is compatible with the one before it, shorter ones next, and steps back if none is left; a place from which no
 encoding goes on is never tried again. Two tokens are compatible if merging their texts by rank gives exactly these two.
+
+Short pieces that are new to a task are merged by rank side by side in arrays, which gives the same tokens: in each round every piece merges its
+pair of the lowest rank.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from matchmill.llm.text import AT_TASK_END, add_columns
 SHORT_FORMS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Pieces and pairs of tokens whose results are kept at a time.
 REMEMBERED = 150_000
+#: Pieces of at most so many bytes are merged side by side; texts of about so many characters are looked at for new pieces at once.
+SHORT, TOGETHER = 64, 1 << 20
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
 
@@ -86,6 +91,9 @@ class _Recent(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+        return self.keep(key, value)
+
+    def keep(self, key, value):
         if len(self) >= REMEMBERED:
             self.old = dict(self)
             self.clear()
@@ -127,6 +135,9 @@ class Codec:
             self.automaton.add_word(name.decode("latin-1"), k)
         self.automaton.make_automaton()
         self.id = [vocabulary.ids[n] for n in names]
+        pairs = sorted((a << 32 | b, k, rank[names[k]]) for (a, b), k in self.merged.items())
+        self.pair_keys, self.pair_ranks, self.pair_tokens = (np.array([p[c] for p in pairs], np.int64) for c in range(3))
+        self.id_of = np.array(self.id, "<u4")
         self.special = dict(vocabulary.special)
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         classes = character_classes()
@@ -196,17 +207,87 @@ class Codec:
                 token = out.pop()
                 at -= size[token]
 
+    def _rank_of(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """The places of pairs of tokens among all pairs that merge; -1 for others."""
+        key = one << 32 | two
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, at, -1)
+
+    def merge_side_by_side(self, pieces: Sequence[bytes]) -> list[np.ndarray]:
+        """The tokens of pieces of a byte or more, by rank: each round merges the first pair by rank of every piece, from the left where it repeats."""
+        never = np.iinfo(np.int64).max
+        out: list[np.ndarray] = [np.empty(0, np.int64)] * len(pieces)
+        token = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64)
+        owner = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
+        place, rank = np.full(len(token), -1), np.full(len(token), never)
+
+        def look(at: np.ndarray) -> None:
+            # Pairs that begin at some places; none begins at a piece's last token.
+            at = at[at + 1 < len(token)]
+            at = at[owner[at] == owner[at + 1]]
+            place[at] = self._rank_of(token[at], token[at + 1])
+            rank[at] = np.where(place[at] >= 0, self.pair_ranks[place[at]], never)
+
+        if len(self.pair_keys):
+            look(np.arange(len(token)))
+        while len(token):
+            starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            sizes = np.diff(np.append(starts, len(token)))
+            least = np.minimum.reduceat(rank, starts)
+            ended = least == never
+            if ended.any():
+                for start, size in zip(starts[ended].tolist(), sizes[ended].tolist(), strict=True):
+                    out[owner[start]] = token[start : start + size]
+                on = np.repeat(~ended, sizes)
+                token, owner, place, rank = token[on], owner[on], place[on], rank[on]
+                least, sizes = least[~ended], sizes[~ended]
+                if not len(token):
+                    break
+            hit = np.flatnonzero(rank == np.repeat(least, sizes))
+            # In a row of places of one pair, as in a run of one byte, every second one merges.
+            first = np.concatenate([[True], np.diff(hit) > 1])
+            begin = np.maximum.accumulate(np.where(first, hit, 0))
+            hit = hit[(hit - begin) % 2 == 0]
+            token[hit] = self.pair_tokens[place[hit]]
+            stay = np.ones(len(token), np.bool_)
+            stay[hit + 1] = False
+            now = np.cumsum(stay)[hit] - 1
+            token, owner, place, rank = token[stay], owner[stay], place[stay], rank[stay]
+            rank[now] = never
+            look(now)
+            before = now[now > 0] - 1
+            before = before[owner[before] == owner[before + 1]]
+            rank[before] = never
+            look(before)
+        return out
+
+    def learn(self, texts: Sequence[str]) -> list[list[str]]:
+        """The pieces of texts, cut; short ones that are not remembered are encoded together."""
+        parts = [self.find(text) for text in texts]
+        recent, old = self.pieces, self.pieces.old
+        coded = {p: raw for p in set().union(*parts) if p not in recent and p not in old and len(raw := p.encode()) <= SHORT}
+        for piece, tokens in zip(coded, self.merge_side_by_side(list(coded.values())), strict=True):
+            self.pieces.keep(piece, self.id_of[tokens].tobytes())
+        return parts
+
     def _encode_piece(self, piece: str) -> bytes:
         return np.array([self.id[k] for k in self.ranks(piece.encode())], "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text as little-endian unsigned 32-bit numbers; special tokens' texts give their ids."""
-        get, find = self.pieces.__getitem__, self.find
-        parts = self.split.split(text) if self.split else [text]
-        coded = [
-            np.array([self.special[part]], "<u4").tobytes() if k % 2 else b"".join(map(get, find(part))) for k, part in enumerate(parts) if part
-        ]
-        return b"".join(coded)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: Sequence[str]) -> list[bytes]:
+        """``encode`` of several texts, whose new pieces are encoded together."""
+        get, out, k = self.pieces.__getitem__, [], 0
+        while k < len(texts):
+            size, some = 0, []
+            while k < len(texts) and (not some or size + len(texts[k]) <= TOGETHER):
+                some.append(self.split.split(texts[k]) if self.split else [texts[k]])
+                size, k = size + len(texts[k]), k + 1
+            cut = iter(self.learn([part for parts in some for part in parts[::2]]))
+            out += [b"".join([np.array([self.special[part]], "<u4").tobytes() if n % 2 else b"".join(map(get, next(cut))) for n, part in enumerate(parts)]) for parts in some]
+        return out
 
     def decode(self, ids: bytes) -> bytes:
         """The text of ids in UTF-8: the ranges of all tokens are looked up and copied at once; broken sequences are replaced."""
@@ -242,7 +323,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, keep: Sequence[str
         code = codec(sent.value)
 
         def score(texts):
-            ids = [code.encode(t.decode("utf-8", "replace")) if t else b"" for t in texts]
+            ids = code.encode_all([t.decode("utf-8", "replace") if t else "" for t in texts])
             return {"ids": ids, "n_tokens": [len(i) // 4 for i in ids], "decoded": [code.decode(i) for i in ids]}
 
         return score

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import public_tokenizers
 import pytest
 import regex
 
@@ -236,3 +237,20 @@ def test_passages_of_equal_words_collide_anywhere():
 def test_cut_words():
     assert passages.cut_words(b"a b  c d", [(1, 3)]) == b"a d" and passages.cut_words(b"a b", [(0, 2)]) == b"" and passages.cut_words(b"a b", [(5, 9)]) == b"a b"
     assert passages.passages_within(np.arange(60, dtype=np.uint64), np.arange(60, dtype=np.uint64)) == [(0, 60)]
+
+
+def test_short_pieces_merged_side_by_side_are_those_of_the_backtracking_encoder(monkeypatch):
+    code = bpe.Codec(bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json")))
+    rng = random.Random(9)
+    alphabets = ["a", "ab", "the aei", "éñü' ", "0123 \n", "abcdefghij", "\U0001f600️‍ a"]
+    parts = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 60))).encode()[: bpe.SHORT] for letters in alphabets for _ in range(60)]
+    assert [t.tolist() for t in code.merge_side_by_side(parts)] == [code.ranks(p) for p in parts]
+    assert code.merge_side_by_side([]) == []
+    alone = []
+    monkeypatch.setattr(code, "ranks", lambda piece, ranks=code.ranks: alone.append(piece) or ranks(piece))
+    texts = ["one two one", "", "x<|endoftext|>two", "a" * 500 + " two", "<|endoftext|>"]
+    assert [code.decode(i).decode() for i in code.encode_all(texts)] == texts
+    # Only pieces longer than others are encoded one by one.
+    assert alone == [b"a" * 500]
+    monkeypatch.setattr(bpe, "TOGETHER", 5)
+    assert code.encode_all(texts) == [code.encode(t) for t in texts]
